@@ -109,11 +109,11 @@ from lineitem"""
 
 
 ACT_COMPONENT = (
-    "case l_partkey % 5 when 0 then 'Composite' when 1 then 'English' when 2 then 'Mathematics' "
+    "case l_orderkey % 5 when 0 then 'Composite' when 1 then 'English' when 2 then 'Mathematics' "
     "when 3 then 'Reading' else 'Science' end"
 )
 SAT_COMPONENT = (
-    "case l_partkey % 6 when 0 then 'Combined Test Score' when 1 then 'Reading Test  Score - New' "
+    "case l_orderkey % 6 when 0 then 'Combined Test Score' when 1 then 'Reading Test  Score - New' "
     "when 2 then 'Evidence Based Reading and Writing - New' when 3 then 'Essay Total' "
     "when 4 then 'Combined' else 'Mathematics' end"
 )
