@@ -415,8 +415,8 @@ def build_act(raw: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_direct_certification(raw: Mapping[str, DataFrame]) -> DataFrame:
-    district = direct_certification_district.build(raw["direct_certification_district"])
-    return district.unionByName(direct_certification_school.build(raw["direct_certification_school"]))
+    parts = (direct_certification_district, direct_certification_school)
+    return union_with_drift([feed.build(raw[feed.name]) for feed in parts if feed.name in raw])
 
 
 # Feeds that read the raw table of their own name.

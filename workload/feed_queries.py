@@ -6,11 +6,14 @@ table texts with the Spark side.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame
 
 from rollcall.plans import dims as D
 from rollcall.plans import facts as FA
 from rollcall.plans.feeds import SILVER_SOURCES, build_silver
+from rollcall.session import pin
 from workload.raw_tables import RAW
 from workload.registry import Tables, query
 
@@ -322,14 +325,22 @@ from (select *, row_number() over (partition by institution_key
 }
 
 
-def dimension(t: Tables, name: str) -> DataFrame:
-    if name == "year":
-        return D.dim_year(silver(t, "enrollment_by_grade"))
-    if name == "subgroup":
-        return D.dim_subgroup(silver(t, "eog"))
-    if name == "assessment":
-        return D.dim_assessment(*[silver(t, s) for s in ("eog", "eoc", "sat", "act")])
-    return D.dim_school(silver(t, "enrollment_by_grade"), silver(t, "revenues"))
+DIM_SOURCES = {
+    "year": ("enrollment_by_grade",),
+    "subgroup": ("eog",),
+    "assessment": ("eog", "eoc", "sat", "act"),
+    "school": ("enrollment_by_grade", "revenues"),
+}
+_DIM_BUILDERS = {
+    "year": D.dim_year,
+    "subgroup": D.dim_subgroup,
+    "assessment": D.dim_assessment,
+    "school": D.dim_school,
+}
+
+
+def dimension(t: Tables, name: str, source=silver) -> DataFrame:
+    return _DIM_BUILDERS[name](*[source(t, s) for s in DIM_SOURCES[name]])
 
 
 def _register_dim(name: str) -> None:
@@ -447,18 +458,22 @@ left join ({DIM_SQL['assessment']}) as da on f.assessment_name = da.assessment_n
 _SUBGROUP_FACTS = ("fact_dropout", "fact_graduation", "fact_school_performance")
 
 
-def dimensions_for(t: Tables, fact: str) -> dict[str, DataFrame]:
-    names = ["school", "year"]
-    if fact in _SUBGROUP_FACTS:
-        names.append("subgroup")
-    if fact == "fact_school_performance":
-        names.append("assessment")
-    return {name: dimension(t, name) for name in names}
-
-
 def fact(t: Tables, name: str) -> DataFrame:
+    """A fact with its dimensions.  Typed tables that several of them read are written
+    once, as they are in a load; the others are read in place."""
     sources, build = FA.FACTS[name]
-    return build(*[silver(t, s) for s in sources], dimensions_for(t, name))
+    dims = ["school", "year"]
+    if name in _SUBGROUP_FACTS:
+        dims.append("subgroup")
+    if name == "fact_school_performance":
+        dims.append("assessment")
+    uses = Counter([*sources, *[s for d in dims for s in DIM_SOURCES[d]]])
+    staged = {s: pin(silver(t, s), f"silver_{s}") for s, n in uses.items() if n > 1}
+
+    def source(t: Tables, s: str) -> DataFrame:
+        return staged[s] if s in staged else silver(t, s)
+
+    return build(*[source(t, s) for s in sources], {d: dimension(t, d, source) for d in dims})
 
 
 def _register_fact(name: str) -> None:
