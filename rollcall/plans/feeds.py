@@ -392,7 +392,9 @@ def sat_union(raw: Mapping[str, DataFrame]) -> DataFrame:
     for table, (indicator, new_only) in SAT_TABLES.items():
         if table not in raw:
             continue
-        df = raw[table] if indicator is None else tag_source(raw[table], HIGHEST_RECENT_IND=indicator)
+        df = with_missing(raw[table], ["TEST_CMPNT_TYP_CD"])
+        if indicator is not None:
+            df = tag_source(df, HIGHEST_RECENT_IND=indicator)
         sat_format = F.lit("new") if new_only else classify_sat_format(F.col("TEST_CMPNT_TYP_CD"))
         frames.append(df.withColumn("sat_format", sat_format))
     return with_missing(union_with_drift(frames), sat.raw_columns())

@@ -13,11 +13,12 @@ def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = local_session(
         "rollcall-tests",
-        cores="4",
+        cores="8",
         **{
             "spark.checkpoint.dir": str(base / "shared"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.driver.memory": "4g",
+            "spark.sql.shuffle.partitions": "3",
         },
     )
     yield session
