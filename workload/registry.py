@@ -33,11 +33,23 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table over all cores.
+
+        The supplied files hold one row group each, hence one scan task whatever their
+        size.  A scan with at least as many tasks as cores, which is every large table,
+        is left as it is.
+        """
+        df = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     def sql(self, text: str) -> DataFrame:
         """Run adapter SQL, written so that both engines read it, on the tables."""
         used = [t for t in TABLES if re.search(rf"\b(from|join) {t}\b", text)]
         text = re.sub(rf"\b(from|join) ({'|'.join(used)})\b", r"\1 {\2}", text).replace('"', "`")
-        return self.spark.sql(text, **{t: getattr(self, t) for t in used})
+        frames = {t: self.spread(t) if t == "lineitem" else getattr(self, t) for t in used}
+        return self.spark.sql(text, **frames)
 
 
 def query(name: str, oracle: str | None = None):
