@@ -587,11 +587,14 @@ def duplicate_breakdown(t):
 
 
 _NEWEST = """select * from (select *, row_number() over (partition by l_orderkey, l_linenumber
-    order by source_file desc, l_suppkey, l_partkey) as rn from feed) as r where rn = 1"""
+    order by source_file desc, l_suppkey, l_partkey, school_year, l_extendedprice, l_quantity, pct_raw nulls last,
+      dropout_label) as rn from feed) as r where rn = 1"""
+# Some lines agree in supplier and part as well, so the order goes on to the columns the queries show.
+_NEWEST_TIES = ("l_suppkey", "l_partkey", "school_year", "l_extendedprice", "l_quantity", "pct_raw", "dropout_label")
 
 
 def newest_lines(t: Tables) -> DataFrame:
-    order = [F.desc_nulls_last("source_file"), F.asc_nulls_last("l_suppkey"), F.asc_nulls_last("l_partkey")]
+    order = [F.desc_nulls_last("source_file"), *[F.asc_nulls_last(c) for c in _NEWEST_TIES]]
     return dedup.dedup(feed(t), _LINE, order)
 
 
