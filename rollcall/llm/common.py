@@ -72,22 +72,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def byte_chunks(frames: Iterator[pd.DataFrame], encode, limit: int = 2_000_000) -> Iterator[tuple[list, list[bytes]]]:
-    """Rows regrouped into chunks of about ``limit`` bytes: (doc ids, encoded texts)."""
-    ids: list = []
+def byte_chunks(frames: Iterator[pd.DataFrame], encode, columns: tuple[str, ...], limit: int = 2_000_000) -> Iterator[tuple[list, list[bytes]]]:
+    """Rows regrouped into chunks of about ``limit`` bytes: (values of ``columns``, encoded texts)."""
+    rows: list = []
     parts: list[bytes] = []
     size = 0
     for frame in frames:
-        for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+        for *values, text in zip(*[frame[c] for c in columns], frame["text"], strict=True):
             data = encode(text)
-            ids.append(doc_id)
+            rows.append(values)
             parts.append(data)
             size += len(data)
             if size >= limit:
-                yield ids, parts
-                ids, parts, size = [], [], 0
-    if ids:
-        yield ids, parts
+                yield rows, parts
+                rows, parts, size = [], [], 0
+    if rows:
+        yield rows, parts
 
 
 class PrefixHash:

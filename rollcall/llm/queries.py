@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import fingerprint, license_scan, packing, quality_knn
+from rollcall.llm import fingerprint, license_scan, near_dedup, packing, quality_knn
 from rollcall.llm.common import table
 
 
@@ -26,5 +26,9 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_knn, op4_best_fit_packing, op6_license_scan, op7_fingerprints)}
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_knn, op4_best_fit_packing, op6_license_scan, op7_fingerprints, op8_near_dedup)}
 ORACLES: dict[str, str] = {}
