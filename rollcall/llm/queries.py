@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import fingerprint, license_scan, near_dedup, packing, quality_knn
+import corpus_pipeline
+from rollcall.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dedup, packing, quality_knn
 from rollcall.llm.common import table
 
 
@@ -14,6 +15,10 @@ def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.classify(docs, model)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
@@ -30,5 +35,19 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_knn, op4_best_fit_packing, op6_license_scan, op7_fingerprints, op8_near_dedup)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_knn, op3_line_dedup, op4_best_fit_packing, op6_license_scan, op7_fingerprints, op8_near_dedup, op9_decontamination,
+        pipeline,
+    )
+}
 ORACLES: dict[str, str] = {}
