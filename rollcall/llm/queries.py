@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rollcall.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dedup, packing, quality_knn
+from rollcall.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dedup, packing, quality_knn, url_filter
 from rollcall.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.outcomes(table(spark, sf_dir, "labels")))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -46,8 +50,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_knn, op3_line_dedup, op4_best_fit_packing, op6_license_scan, op7_fingerprints, op8_near_dedup, op9_decontamination,
+        op1_quality_knn, op3_line_dedup, op4_best_fit_packing, op5_url_reputation, op6_license_scan, op7_fingerprints, op8_near_dedup, op9_decontamination,
         pipeline,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op5_url_reputation": url_filter.ORACLE_SQL}
