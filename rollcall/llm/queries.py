@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rollcall.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dedup, packing, quality_knn, url_filter
+from rollcall.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dedup, packing, pii, quality_knn, suffix_dedup, url_filter
 from rollcall.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.classify(docs, model)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.spans(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -50,8 +58,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_knn, op3_line_dedup, op4_best_fit_packing, op5_url_reputation, op6_license_scan, op7_fingerprints, op8_near_dedup, op9_decontamination,
-        pipeline,
+        op1_quality_knn, op2_suffix_dedup, op3_line_dedup, op4_best_fit_packing, op5_url_reputation, op6_license_scan,
+        op7_fingerprints, op8_near_dedup, op9_decontamination, op10_pii, pipeline,
     )
 }
 ORACLES = {"op5_url_reputation": url_filter.ORACLE_SQL}
