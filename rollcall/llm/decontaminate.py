@@ -34,8 +34,13 @@ def words(text: Column) -> Column:
 
 def shingles(word_list: Column, size: int = SHINGLE) -> Column:
     """Distinct hashes of all runs of ``size`` words."""
-    starts = F.when(F.size(word_list) >= size, F.sequence(F.lit(0), F.size(word_list) - size)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(*[F.get(word_list, i + k) for k in range(size)])))
+
+    def runs(w: Column) -> Column:
+        starts = F.when(F.size(w) >= size, F.sequence(F.lit(0), F.size(w) - size)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+
+    # bound to a name first, so that the words are not split anew for every run
+    return F.array_distinct(F.get(F.transform(F.array(word_list), runs), F.lit(0)))
 
 
 def index(items: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
