@@ -30,6 +30,8 @@ NEAR_FROM = 40
 #: A document that would lose more of its characters than this is a copy as a whole, which
 #: is left to document-level dedup.
 LARGEST_LOSS = 0.5
+#: Rows of the bitmap that sieves lines, the most that is broadcast.
+SIEVE = 2**18
 
 
 def occurrences(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
@@ -90,6 +92,18 @@ def near_pairs(lines: DataFrame, edits: int = EDITS, near_from: int = NEAR_FROM)
     return probes.join(indexed, "key").filter("longer <> shorter").select("longer", "shorter").distinct()
 
 
+def sieved(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The lines whose hash may be among ``wanted``, so that the others' text is not shuffled.
+
+    A bitmap of the wanted hashes is broadcast, at most ``SIEVE`` rows of 64 bits whatever
+    their number.  The more are wanted the more lines pass it; a join by hash has to follow.
+    """
+    slot, bit = F.pmod("hash", F.lit(SIEVE)).alias("slot"), "cast(shiftrightunsigned(hash, 32) & 63 as int)"
+    marks = wanted.groupBy(slot).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("marks"))
+    rows = lines.withColumn("slot", slot).join(F.broadcast(marks), "slot")
+    return rows.filter(F.expr(f"getbit(marks, {bit}) = 1")).select(*lines.columns)
+
+
 def near_links(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near_from: int = NEAR_FROM) -> tuple[DataFrame, DataFrame]:
     """Distinct lines (hash, first, copies) and the verified links (x, y) between their hashes."""
     lines = occurrences(docs, shortest)
@@ -100,7 +114,8 @@ def near_links(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, ne
     pairs = pin(near_pairs(keyed, edits, near_from), "pairs")
     known = pin(lines.groupBy("hash").agg(F.min(F.struct("rank", "place")).alias("first"), F.count("*").alias("copies")), "lines")
     wanted = pin(pairs.select(F.col("longer").alias("hash")).union(pairs.select("shorter")).distinct(), "wanted")
-    spelled = pin(lines.join(wanted, "hash", "left_semi").select("hash", "line").dropDuplicates(["hash"]), "spelled")
+    spelled = sieved(lines.select("hash", "line"), wanted).dropDuplicates(["hash"])
+    spelled = pin(spelled.join(wanted, "hash", "left_semi"), "spelled")
     both = pairs.join(spelled.select(F.col("hash").alias("longer"), F.col("line").alias("x")), "longer")
     both = both.join(spelled.select(F.col("hash").alias("shorter"), F.col("line").alias("y")), "shorter")
     links = both.filter(within(F.col("x"), F.col("y"), edits)).select("longer", "shorter")
