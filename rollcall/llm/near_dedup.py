@@ -11,8 +11,9 @@ Equal texts are folded into one node, named by a 64-bit hash of the text, so tha
 everything after works on distinct texts.  Bands of the signature give candidate pairs;
 each pair is verified by its exact weighted Jaccard similarity, and classes are the
 connected components of the verified links.  In a bucket every member is paired with the
-``PIVOTS`` smallest nodes, so a large group yields rows in proportion to its size; members
-that found no link are then searched against their whole buckets.
+``PIVOTS`` smallest nodes, so a large group yields rows in proportion to its size.  Members
+that are not of the class of their bucket's smallest node by then are searched exactly: two
+texts reach the threshold only if they share one of their rarest shingles, early enough.
 
 Defined results: a null text is an empty one; texts without a word are one class; texts of
 fewer than five words have one shingle; the class of rows with null ids only has a null id;
@@ -197,6 +198,35 @@ def candidate_pairs(keyed: DataFrame) -> DataFrame:
     return pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
 
 
+def _unit_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        parts = [np.frombuffer(data, np.uint32) for data in frame["cells"]]
+        sizes = np.array([len(p) for p in parts], np.int32)
+        cell = np.concatenate([*parts, np.zeros(0, np.uint32)]).astype(np.int64)
+        yield pd.DataFrame({"node": np.repeat(frame["node"].to_numpy(), sizes), "cell": cell, "n": np.repeat(sizes, sizes)})
+
+
+def unsettled_pairs(cells: DataFrame, members: DataFrame, apart: DataFrame, threshold: float) -> DataFrame:
+    """Candidates (a, b) of different roots, one side in ``apart``; ``members``: node, root.
+
+    The rarest cells of a text come first.  Of a pair that reaches the threshold, the first
+    shared cell lies in both prefixes, and behind it enough cells are left on either side;
+    so no such pair is left out.
+    """
+    tokens = cells.join(members.select("node"), "node", "left_semi").select("node", "cells").mapInPandas(_unit_cells, "node long, cell long, n int")
+    tokens = pin(tokens, "tokens")
+    ranked = tokens.join(tokens.groupBy("cell").agg(F.count("*").alias("holders")), "cell")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("holders", "cell"))
+    ranked = ranked.withColumn("place", place).filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
+    ahead = (F.col("n") - F.col("place") + 1).alias("ahead")  # the cell itself and those behind it
+    prefixes = pin(ranked.filter("holders > 1").select("node", "cell", "n", ahead).join(members, "node"), "prefixes")
+    own = prefixes.join(apart, "node", "left_semi").alias("x")
+    both = own.join(prefixes.alias("y"), F.expr("x.cell = y.cell and x.root <> y.root") & (
+        F.least("x.ahead", "y.ahead") >= F.ceil((F.col("x.n") + F.col("y.n")) * (threshold / (1 + threshold)) - 1e-9)
+    ))
+    return both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row, and the verified links (a, b, likeness) between nodes."""
     named = with_node(texts(docs)).withColumnRenamed(NODE, "node")
@@ -217,11 +247,12 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
         return both.select("a", "b", "x", "y").mapInPandas(_measure, "a long, b long, likeness double").filter(F.col("likeness") >= threshold)
 
     found = pin(verified(candidate_pairs(keyed.select("node", "key"))), "links")
-    linked = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
-    large = keyed.filter(F.col("members") > PIVOTS + 1)
-    alone = large.join(linked, "node", "left_anti").select(F.col("node").alias("own"), "key")
-    rest = alone.join(large.select("node", "key"), "key").filter("own <> node")
-    rest = rest.select(F.least("own", "node").alias("a"), F.greatest("own", "node").alias("b")).distinct()
+    large = pin(keyed.filter(F.col("members") > PIVOTS + 1).select("node", "key"), "large")
+    roots = components(found)
+    rooted = large.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    reference = rooted.groupBy("key").agg(F.min_by("root", "node").alias("reference"))
+    apart = rooted.join(reference, "key").filter("root <> reference").select("node").distinct()
+    rest = unsettled_pairs(cells, rooted.select("node", "root").distinct(), apart, threshold)
     return sketches.select("doc_id", "node"), pin(found.unionByName(verified(rest)).dropDuplicates(["a", "b"]), "links")
 
 
