@@ -98,8 +98,10 @@ def throw(cells: np.ndarray, owner: np.ndarray, until: np.ndarray, slots: int =
     out = []
     top = float(until.max(initial=0))
     levels = [(0.0, 2.0**-EARLY), *((2.0**-k, 2.0**-k) for k in range(EARLY, 0, -1)), *((float(k), 1.0) for k in range(1, int(np.ceil(top))))]
+    live, least = np.arange(len(cells)), until.min(initial=np.inf)
     for number, (start, width) in enumerate(levels):
-        live = np.flatnonzero(until[owner] > start) if start >= until.min(initial=0) else np.arange(len(cells))
+        if start >= least:  # levels come in order, so cells only drop out
+            live = live[until[owner[live]] > start]
         if not len(live):
             break
         base = mix(cells[live] ^ np.uint64(SEED * 1_000_003 + number * 7919))
@@ -130,12 +132,9 @@ def signatures(parts: list[bytes], hasher: PrefixHash, slots: int = SLOTS) -> np
     while open_texts.any():
         mine = open_texts[owner]
         text, slot, time, dart = throw(cells[mine], owner[mine], np.where(open_texts, until, 0), slots)
-        order = np.lexsort((time, text * slots + slot))
-        place = (text * slots + slot)[order]
-        first = np.ones(len(place), bool)
-        first[1:] = place[1:] != place[:-1]
+        late = np.argsort(time)[::-1]  # what is written last stays: the earliest dart of a slot
         found = np.zeros(len(parts) * slots, np.uint64)
-        found[place[first]] = dart[order][first] | np.uint64(1)
+        found[(text * slots + slot)[late]] = dart[late] | np.uint64(1)
         found = found.reshape(len(parts), slots)
         done = open_texts & (found != 0).all(axis=1)
         signature[done] = found[done]
