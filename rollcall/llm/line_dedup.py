@@ -27,9 +27,6 @@ from rollcall.llm.common import pin
 EDITS = 2
 SHORTEST = 20
 NEAR_FROM = 40
-#: A document that would lose more of its characters than this is a copy as a whole, which
-#: is left to document-level dedup.
-LARGEST_LOSS = 0.5
 #: Rows of the bitmap that sieves lines, the most that is broadcast.
 SIEVE = 2**18
 
@@ -160,14 +157,13 @@ def report(docs: DataFrame) -> DataFrame:
     return ids.join(counted, "rank", "left").select("doc_id", *map(zero, ("n_lines", "n_exact", "n_near", "n_links", "n_chars_dropped")))
 
 
-def drop_lines(docs: DataFrame, largest_loss: float = LARGEST_LOSS) -> DataFrame:
+def drop_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the dropped lines; all rows and columns stay, n_chars follows the text."""
-    gone = decisions(docs).filter("what <> 'kept'").distinct()
-    gone = gone.groupBy("rank").agg(F.collect_set("place").alias("_gone"), F.sum("length").alias("_lost"))
+    gone = decisions(docs).filter("what <> 'kept'").groupBy("rank").agg(F.collect_set("place").alias("_gone"))
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
-    drop = F.col("_gone").isNotNull() & (F.col("_lost") <= F.length("text") * largest_loss)
+    drop = F.col("_gone").isNotNull()
     out = docs.withColumn("_rank", rank).join(gone.withColumnRenamed("rank", "_rank"), "_rank", "left")
     out = out.withColumn("text", F.when(drop, F.array_join(kept, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
