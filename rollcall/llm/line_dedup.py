@@ -3,8 +3,8 @@ r"""Line dedup by a segment-partition edit join.
 A line is a trimmed piece of a text between ``\n``; lines under ``SHORTEST`` characters are
 left alone.  Two lines are duplicates if they are equal or, from ``NEAR_FROM`` characters,
 within ``EDITS`` edits.  A line occurrence is dropped if an equal line occurs earlier (by
-document id, then place) or the first occurrence of a near line is earlier than its own
-line's first; the earliest of all always stays.
+document id, then text hash and place) or the first occurrence of a near line is earlier
+than its own line's first; the earliest of all always stays.
 
 Near lines are found without comparing all pairs.  Each distinct line is cut evenly into
 ``EDITS + 1`` segments, indexed by (length, segment, content).  A line probes the indexes of
@@ -14,7 +14,9 @@ Candidates are verified by the built-in edit distance with a threshold, which ke
 band of 2 k + 1 diagonals (instead of bit vectors; see ``within``).
 
 DataFrame functions only.  Defined results: a null text has no line; null ids sort last;
-rows that repeat an id and a place are one occurrence; a text of any length is read whole.
+rows that repeat an id
+and its text are one document, different texts under one id (or none) are several; a text
+of any length is read whole.
 """
 
 from __future__ import annotations
@@ -31,11 +33,15 @@ NEAR_FROM = 40
 SIEVE = 2**18
 
 
+def identity() -> list[Column]:
+    """rank and key of a document: its id, nulls last, and the hash of its text."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("rank"), F.xxhash64("text").alias("key")]
+
+
 def occurrences(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
-    """doc_id, place, line and its hash of every line that counts."""
-    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    lines = docs.select(rank.alias("rank"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("place", "line"))
-    lines = lines.select("rank", "place", F.trim("line").alias("line"), F.xxhash64(F.trim("line")).alias("hash"))
+    """Document (rank, key), place, line and its hash of every line that counts."""
+    lines = docs.select(*identity(), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("place", "line"))
+    lines = lines.select("rank", "key", "place", F.trim("line").alias("line"), F.xxhash64(F.trim("line")).alias("hash"))
     return lines.filter(F.length("line") >= shortest)
 
 
@@ -105,11 +111,11 @@ def near_links(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, ne
     """Distinct lines (hash, first, copies) and the verified links (x, y) between their hashes."""
     lines = occurrences(docs, shortest)
     distinct = lines.groupBy("hash").agg(
-        F.min(F.struct("rank", "place")).alias("first"), F.count("*").alias("copies"), F.first("line").alias("line")
+        F.min(F.struct("rank", "key", "place")).alias("first"), F.count("*").alias("copies"), F.first("line").alias("line")
     )
     keyed = distinct.select("hash", "first", "copies", "line")
     pairs = pin(near_pairs(keyed, edits, near_from), "pairs")
-    known = pin(lines.groupBy("hash").agg(F.min(F.struct("rank", "place")).alias("first"), F.count("*").alias("copies")), "lines")
+    known = pin(lines.groupBy("hash").agg(F.min(F.struct("rank", "key", "place")).alias("first"), F.count("*").alias("copies")), "lines")
     wanted = pin(pairs.select(F.col("longer").alias("hash")).union(pairs.select("shorter")).distinct(), "wanted")
     spelled = sieved(lines.select("hash", "line"), wanted).dropDuplicates(["hash"])
     spelled = pin(spelled.join(wanted, "hash", "left_semi"), "spelled")
@@ -133,13 +139,13 @@ def repeated(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near
 
 
 def decisions(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near_from: int = NEAR_FROM) -> DataFrame:
-    """Every line occurrence (rank, place) with hash, length, links and what it is: kept, exact or near."""
+    """Every line occurrence (rank, key, place) with hash, length, links and what it is: kept, exact or near."""
     known = repeated(docs, edits, shortest, near_from)
-    lines = occurrences(docs, shortest).select("rank", "place", "hash", F.length("line").alias("length"))
+    lines = occurrences(docs, shortest).select("rank", "key", "place", "hash", F.length("line").alias("length"))
     joined = lines.join(known, "hash", "left")
-    is_first = F.col("first").isNull() | (F.struct("rank", "place") == F.col("first"))
+    is_first = F.col("first").isNull() | (F.struct("rank", "key", "place") == F.col("first"))
     what = F.when(~is_first, "exact").when(F.col("earlier"), "near").otherwise("kept")
-    return joined.select("rank", "place", "hash", "length", F.coalesce("links", F.lit(0)).alias("links"), what.alias("what"))
+    return joined.select("rank", "key", "place", "hash", "length", F.coalesce("links", F.lit(0)).alias("links"), what.alias("what"))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -159,12 +165,13 @@ def report(docs: DataFrame) -> DataFrame:
 
 def drop_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the dropped lines; all rows and columns stay, n_chars follows the text."""
-    gone = decisions(docs).filter("what <> 'kept'").groupBy("rank").agg(F.collect_set("place").alias("_gone"))
-    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
+    gone = decisions(docs).filter("what <> 'kept'").groupBy("rank", "key").agg(F.collect_set("place").alias("_gone"))
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
     drop = F.col("_gone").isNotNull()
-    out = docs.withColumn("_rank", rank).join(gone.withColumnRenamed("rank", "_rank"), "_rank", "left")
+    rank, key = identity()
+    gone = gone.withColumnsRenamed({"rank": "_rank", "key": "_key"})
+    out = docs.withColumn("_rank", rank).withColumn("_key", key).join(gone, ["_rank", "_key"], "left")
     out = out.withColumn("text", F.when(drop, F.array_join(kept, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(drop, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
