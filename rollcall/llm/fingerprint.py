@@ -1,12 +1,13 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is its bag of words, hashed to ``2 ** BITS`` terms, each weighted by its count.
+A text is its bag of words, each named by a 64-bit hash and weighted by its count.
 For each of ``SLOTS`` samples a term has r, c ~ Gamma(2, 1) and b ~ U(0, 1); with weight w
 its level is t = floor(ln w / r + b) and its key c exp(-r (t - b + 1)).  The term with the
 smallest key is the sample, and two texts share the sample (term and level) with
 probability equal to their generalised Jaccard similarity.
 
-Keys of small weights come from tables, so that most terms cost one lookup.
+r, c and b are functions of (word hash, sample) alone, by a counter-based hash, so that no
+two words share them.  A worker keeps those of up to ``CACHED`` words, which changes no result.
 
 Defined results: a null or empty text, or one of white space only, has the fingerprint of
 zeros and likeness 1 to another such text, 0 to the rest; equal texts have equal
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import PrefixHash, mix, shuffle_width, texts
 
-BITS = 15
 SLOTS = 64
 SEED = 20240607
-#: Weights whose keys are looked up.
-TABLED = 3
+#: Places of the table of drawn words; a word has one place, and the first to come keeps it.
+CACHED = 2**16
+#: Words whose keys are computed at a time.
+BLOCK = 2048
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -38,53 +40,82 @@ SCHEMA = (
 )
 
 
+def _gamma(bits: np.ndarray) -> np.ndarray:
+    """Gamma(2, 1) numbers from 64 random bits each, as the sum of two exponential ones."""
+    high = ((bits >> np.uint64(32)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-32)
+    low = ((bits & np.uint64(0xFFFFFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-32)
+    return np.maximum(-np.log(high) - np.log(low), np.float32(1e-9))
+
+
+def draw(words: np.ndarray, salts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and b of each word and sample."""
+    x = mix(words ^ salts)
+    log_c = np.log(_gamma(mix(x + np.uint64(0x9E3779B97F4A7C15))))
+    b = (mix(x + np.uint64(0x3C6EF372FE94F82A)) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+    return _gamma(x), log_c, b
+
+
+def _keys(r: np.ndarray, log_c: np.ndarray, b: np.ndarray, log_weight: np.ndarray) -> np.ndarray:
+    return log_c - r * (np.floor(log_weight / r + b) - b + 1)
+
+
 class Sampler:
-    def __init__(self, bits: int = BITS, slots: int = SLOTS, seed: int = SEED):
-        rng = np.random.default_rng(seed)
-        shape = (1 << bits, slots)
-        self.mask = np.uint64((1 << bits) - 1)
+    def __init__(self, slots: int = SLOTS, seed: int = SEED, cached: int = CACHED):
         self.slots = slots
-        self.r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
-        self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
-        self.b = rng.random(shape, np.float32)
+        self.salts = np.random.default_rng(seed).integers(0, 2**64, slots, dtype=np.uint64)
         self.hash = PrefixHash(seed)
-        self.tables = [self._keys(slice(None), np.float32(np.log(w)))[0] for w in range(1, TABLED + 1)]
-
-    def _keys(self, terms, log_weight) -> tuple[np.ndarray, np.ndarray]:
-        r, b = self.r[terms], self.b[terms]
-        level = np.floor(log_weight / r + b)
-        return self.log_c[terms] - r * (level - b + 1), level
+        self.held = np.zeros(cached, np.uint64)
+        self.drawn = np.empty((3, cached, slots), np.float32)
+        self.once = np.empty((cached, slots), np.float32)
+
+    def keys(self, words: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Log keys of words by samples; words that are not in the table are drawn."""
+        place = (words % np.uint64(len(self.held))).astype(np.int64)
+        log_weight = np.log(weights).astype(np.float32)[:, None]
+        known = self.held[place] == words
+        out = np.empty((len(words), self.slots), np.float32)
+        at = np.flatnonzero(known & (weights == 1))
+        out[at] = self.once[place[at]]
+        at = np.flatnonzero(known & (weights > 1))
+        out[at] = _keys(*self.drawn[:, place[at]], log_weight[at])
+        at = np.flatnonzero(~known)
+        if len(at):
+            drawn = np.stack(draw(words[at][:, None], self.salts))
+            out[at] = _keys(*drawn, log_weight[at])
+            taken, first = np.unique(place[at], return_index=True)
+            free = self.held[taken] == 0
+            taken, first = taken[free], first[free]
+            self.held[taken] = words[at[first]]
+            self.drawn[:, taken] = drawn[:, first]
+            self.once[taken] = _keys(*drawn[:, first], np.float32(0))
+        return out
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct terms of a text and their weights."""
+        """Distinct words of a text, by their hashes, and their weights."""
         data = b" ".join(text.encode("utf-8", "replace").split())
         if not data:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         raw = np.frombuffer(data, np.uint8)
         gaps = np.flatnonzero(raw == 32)
         starts = np.concatenate(([0], gaps + 1))
         ends = np.concatenate((gaps, [len(raw)]))
-        hashes = self.hash.ranges(self.hash.prefixes(raw), starts, ends) & self.mask
-        weights = np.bincount(hashes.astype(np.int64), minlength=len(self.r))
-        terms = np.flatnonzero(weights)
-        return terms, weights[terms]
+        return np.unique(self.hash.ranges(self.hash.prefixes(raw), starts, ends), return_counts=True)
 
     def signature(self, text: str) -> np.ndarray:
         """16 bits per slot; zeros where the text has no word."""
-        terms, weights = self.counts(text)
-        if not len(terms):
+        words, weights = self.counts(text)
+        if not len(words):
             return np.zeros(self.slots, np.uint16)
-        keys = self.tables[0][terms]
-        for w in range(2, TABLED + 1):
-            at = np.flatnonzero(weights == w)
-            keys[at] = self.tables[w - 1][terms[at]]
-        at = np.flatnonzero(weights > TABLED)
-        keys[at] = self._keys(terms[at], np.log(weights[at]).astype(np.float32)[:, None])[0]
-        best = keys.argmin(axis=0)
         slot = np.arange(self.slots)
-        r, b = self.r[terms[best], slot], self.b[terms[best], slot]
+        least, best = np.full(self.slots, np.inf, np.float32), np.zeros(self.slots, np.int64)
+        for start in range(0, len(words), BLOCK):
+            keys = self.keys(words[start : start + BLOCK], weights[start : start + BLOCK])
+            at = keys.argmin(axis=0)
+            less = keys[at, slot] < least
+            least[less], best[less] = keys[at, slot][less], start + at[less]
+        r, _, b = draw(words[best], self.salts)
         level = np.floor(np.log(weights[best]).astype(np.float32) / r + b).astype(np.int64)
-        sample = mix((terms[best].astype(np.uint64) << np.uint64(20)) + level.astype(np.uint64))
+        sample = mix(words[best] + mix(level.astype(np.uint64)))
         return (sample % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
 
 
