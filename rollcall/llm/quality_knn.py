@@ -1,10 +1,12 @@
 """Quality classifier: nearest-neighbour voting over latent-semantic vectors.
 
-A text is a bag of terms: trigrams of character classes (letters, digits, the usual
-punctuation, symbols, ...) and words that repeat themselves.  Sublinear term weights of a
-bounded labelled sample are decomposed by SVD; the leading directions are the latent
-space.  The labelled vectors are broadcast (at most ``SAMPLE`` rows of ``DIMENSIONS``
-floats, whatever the corpus size), every document is projected, its exact cosines with all
+A text is a bag of terms: its words in lower case and its trigrams of code points, hashed to
+a wide sparse space, and three surface shares (distinct words, words equal to the one
+before, distinct lines).  Sublinear term weights, times the inverse document frequency in a
+bounded labelled sample, are decomposed by a truncated SVD (randomised subspace iteration);
+the leading directions are the latent space.  The directions and the labelled vectors are
+broadcast (at most ``TERMS`` and ``SAMPLE`` rows of ``DIMENSIONS`` floats, whatever the
+corpus size), every document is projected, its exact cosines with all
 labelled vectors are computed in blocks, and the nearest neighbours vote with their
 similarity as weight.
 
@@ -23,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.llm.common import PrefixHash, mix
+
 #: Labelled rows that are learned from at most; chosen by a hash of their id.
 SAMPLE = 3000
 DIMENSIONS = 48
@@ -31,39 +35,48 @@ NEIGHBOURS = 15
 BLOCK = 256
 THRESHOLD = 0.7
 
-CLASSES = 12
-TRIGRAMS = CLASSES**3
-#: Behind the trigrams: words, distinct words, words equal to the one before, lines, distinct lines.
-TERMS = TRIGRAMS + 5
-
-
-def _class_table() -> np.ndarray:
-    table = np.full(256, 10, np.uint8)  # other ASCII
-    table[128:] = 11
-    for k, members in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\n", ".", ",", "!", "|", "#$%&*+=<>@^~")):
-        table[np.frombuffer(members.encode(), np.uint8)] = k
-    return table
-
+#: Places of words, then of trigrams, then the surface shares; a place fits 16 bits.
+WORDS = 2**15
+TERMS = 2**16
+SURFACE = TERMS - 3
+#: Directions iterated besides the wanted ones, and rounds of the iteration.
+SPARE = 16
+ROUNDS = 4
 
-_CLASS = _class_table()
+_HASH = PrefixHash(31)
 
 
-def terms(text: str | None) -> np.ndarray:
-    """Sublinear weights of a text's terms."""
-    out = np.zeros(TERMS, np.float32)
+def terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a text's terms, ascending, and their sublinear weights."""
     if not text:
-        return out
-    c = _CLASS[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)].astype(np.int32)
-    if len(c) > 2:
-        out[:TRIGRAMS] = np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=TRIGRAMS)
-    words = text.split()
-    lines = text.split("\n")
+        return np.zeros(0, np.uint16), np.zeros(0, np.float32)
+    at = []
+    data = b" ".join(text.lower().encode("utf-8", "replace").split())
+    if data:
+        raw = np.frombuffer(data, np.uint8)
+        gaps = np.flatnonzero(raw == 32)
+        hashes = _HASH.ranges(_HASH.prefixes(raw), np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(raw)])))
+        at.append(hashes % np.uint64(WORDS))
+    c = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    grams = mix((c[:-2] << np.uint64(42)) + (c[1:-1] << np.uint64(21)) + c[2:])
+    at.append(grams % np.uint64(SURFACE - WORDS) + np.uint64(WORDS))
+    places, counts = np.unique(np.concatenate(at), return_counts=True)
+    weights = 1 + np.log(counts)
+    words, lines = text.split(), text.split("\n")
     if words:
         same = sum(map(str.__eq__, words, words[1:]))
-        # per hundred words, so that these terms are as long as the trigrams' counts
-        out[:TRIGRAMS] *= 100 / len(words)
-        out[TRIGRAMS:] = 100, 100 * len(set(words)) / len(words), 300 * same / len(words), 20, 20 * len(set(lines)) / len(lines)
-    return np.log1p(out)
+        shares = len(set(words)) / len(words), same / len(words), len(set(lines)) / len(lines)
+        places, weights = np.concatenate((places, np.arange(SURFACE, TERMS))), np.concatenate((weights, shares))
+    return places.astype(np.uint16), weights.astype(np.float32)
+
+
+def scaled(places: np.ndarray, weights: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weights times ``idf``; those of the words, and those of the trigrams, of unit length."""
+    out = weights * idf[places]
+    ends = np.searchsorted(places, (0, WORDS, SURFACE))
+    for a, b in zip(ends, ends[1:], strict=False):
+        out[a:b] /= np.linalg.norm(out[a:b]) if b > a else 1
+    return out
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -73,16 +86,40 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    mean: np.ndarray  # of the sample's term vectors
+    idf: np.ndarray  # by term
     axes: np.ndarray  # terms by latent dimensions
+    centre: np.ndarray  # of the sample, in the latent space
     vectors: np.ndarray  # labelled rows, unit length
     labels: np.ndarray
 
+    def project(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        return scaled(places, weights, self.idf) @ self.axes[places] - self.centre
+
     @property
     def prior(self) -> float:
         return float(self.labels.mean()) if len(self.labels) else 0.5
 
 
+def decompose(rows: list[tuple[np.ndarray, np.ndarray]], dimensions: int) -> np.ndarray:
+    """Leading right singular vectors of sparse rows less their mean, by subspace iteration."""
+    mean = np.zeros(TERMS)
+    for places, weights in rows:
+        mean[places] += weights / len(rows)
+    width = min(dimensions + SPARE, len(rows))
+    basis = np.random.default_rng(7).standard_normal((TERMS, width)).astype(np.float32)
+
+    def times(basis: np.ndarray) -> np.ndarray:
+        return np.stack([weights @ basis[places] for places, weights in rows]) - mean.astype(np.float32) @ basis
+
+    for _ in range(ROUNDS):
+        left = np.linalg.qr(times(basis))[0]
+        basis = -np.outer(mean, left.sum(axis=0)).astype(np.float32)
+        for (places, weights), row in zip(rows, left, strict=True):
+            basis[places] += np.outer(weights, row)
+        basis = np.linalg.qr(basis)[0]
+    return basis @ np.linalg.svd(times(basis), full_matrices=False)[2].T[:, :dimensions]
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS) -> Model:
     """Learn from (doc_id, text, label) rows, at most ``sample`` of them."""
     frame = labelled.select("doc_id", "text", F.col("label").cast("double").alias("label")).filter("label is not null")
@@ -95,28 +132,42 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS)
     )
     rows.sort(key=lambda r: r["doc_id"])
     if not rows:
-        return Model(np.zeros(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
-    raw = np.stack([np.frombuffer(r["v"], np.float32) for r in rows])
-    mean = raw.mean(axis=0)
-    centred = raw - mean
-    values, vectors = np.linalg.eigh((centred.T @ centred).astype(np.float64))
-    axes = vectors[:, np.argsort(-values)[:dimensions]].astype(np.float32)
-    return Model(mean, axes, _unit(centred @ axes), np.array([r["label"] for r in rows], np.float32))
+        none = np.zeros((0, 1), np.float32)
+        return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros(1, np.float32), none, np.zeros(0))
+    found = [_unpacked(r["v"]) for r in rows]
+    holders = np.zeros(TERMS)
+    for places, _ in found:
+        holders[places] += 1
+    idf = (1 + np.log((1 + len(found)) / (1 + holders))).astype(np.float32)
+    idf[SURFACE:] = 1
+    axes = decompose([(places, scaled(places, weights, idf)) for places, weights in found], dimensions)
+    model = Model(idf, axes, np.zeros(axes.shape[1], np.float32), np.zeros((0, 1)), np.array([r["label"] for r in rows], np.float32))
+    raw = np.stack([model.project(*row) for row in found])
+    model.centre = raw.mean(axis=0)
+    model.vectors = _unit(raw - model.centre)
+    return model
 
 
 def _vectors(column: pd.Series) -> pd.Series:
-    return pd.Series([terms(t).tobytes() for t in column], dtype=object)
+    """Four bytes a term, since those of the sample go to the driver."""
+    found = map(terms, column)
+    return pd.Series([places.tobytes() + weights.astype(np.float16).tobytes() for places, weights in found], dtype=object)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    half = len(data) // 2
+    return np.frombuffer(data[:half], np.uint16), np.frombuffer(data[half:], np.float16).astype(np.float32)
 
 
 def votes(model: Model, column: list[str | None], neighbours: int = NEIGHBOURS) -> np.ndarray:
     """Similarity-weighted share of label 1 among the nearest labelled vectors."""
-    raw = np.stack([terms(t) for t in column])
-    out = np.full(len(raw), model.prior)
-    full = raw.any(axis=1)
+    found = [terms(t) for t in column]
+    out = np.full(len(found), model.prior)
+    full = np.array([len(places) > 0 for places, _ in found], bool)
     k = min(neighbours, len(model.labels))
     if not k or not full.any():
         return out
-    cosines = _unit((raw[full] - model.mean) @ model.axes) @ model.vectors.T
+    cosines = _unit(np.stack([model.project(*row) for row in found if len(row[0])])) @ model.vectors.T
     near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
     weight = np.clip(np.take_along_axis(cosines, near, axis=1), 0, None).astype(np.float64) + 1e-9
     out[full] = (weight * model.labels[near]).sum(axis=1) / weight.sum(axis=1)
