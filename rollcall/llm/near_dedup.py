@@ -17,7 +17,8 @@ texts reach the threshold only if they share one of their rarest shingles, early
 
 Defined results: a null text is an empty one; texts without a word are one class; texts of
 fewer than five words have one shingle; the class of rows with null ids only has a null id;
-equal rows share a class, and of repeated rows one is kept.
+equal rows share a class, and of each class one row is kept, whatever ids its rows have or
+share with other classes.
 """
 
 from __future__ import annotations
@@ -273,7 +274,7 @@ def components(found: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, node, class_id (smallest id of the class) and n_links of every row."""
+    """doc_id, node, root, class_id (smallest id of the class) and n_links of every row."""
     rows, found = links(docs, threshold)
     roots = components(found)
     degree = found.select(F.col("a").alias("node")).union(found.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
@@ -282,17 +283,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "doc_id", "node", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     smallest = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return rows.join(smallest, "root").select("doc_id", "node", "class_id", "n_links")
+    return rows.join(smallest, "root").select("doc_id", "node", "root", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of each class, that of the smallest id; all columns kept."""
-    found = classes(docs, threshold)
-    mine = F.col("doc_id").eqNullSafe(F.col("class_id"))
-    chosen = found.filter(mine).groupBy("doc_id", "class_id").agg(F.min("node").alias("node"))
-    chosen = chosen.select(F.col("doc_id").alias("_kept_id"), F.col("node").alias("_kept_node"))
-    lone = found.filter("class_id is null").select(F.col("doc_id").alias("_kept_id"), F.col("node").alias("_kept_node")).distinct()
+    """One row of each class, that of the smallest id, nulls last, then text hash; all columns kept."""
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")
+    chosen = classes(docs, threshold).groupBy("root").agg(F.min(order).alias("one"))
+    chosen = chosen.select(F.col("one.doc_id").alias("_kept_id"), F.col("one.node").alias("_kept_node"))
     rows = with_node(docs)
-    match = (rows["doc_id"].eqNullSafe(F.col("_kept_id"))) & (rows[NODE] == F.col("_kept_node"))
-    kept = rows.join(chosen.filter("_kept_id is not null").union(lone), match, "left_semi")
-    return kept.dropDuplicates(["doc_id", NODE]).drop(NODE)
+    match = rows["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")) & (rows[NODE] == F.col("_kept_node"))
+    return rows.join(chosen, match, "left_semi").dropDuplicates(["doc_id", NODE]).drop(NODE)
