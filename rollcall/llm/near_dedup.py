@@ -274,16 +274,11 @@ def components(found: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, node, root, class_id (smallest id of the class) and n_links of every row."""
+    """doc_id, node, root and class_id (smallest id of the class) of every row."""
     rows, found = links(docs, threshold)
-    roots = components(found)
-    degree = found.select(F.col("a").alias("node")).union(found.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
-    known = roots.join(degree, "node")
-    rows = rows.join(known, "node", "left").select(
-        "doc_id", "node", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
+    rows = rows.join(components(found), "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
     smallest = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return rows.join(smallest, "root").select("doc_id", "node", "root", "class_id", "n_links")
+    return rows.join(smallest, "root").select("doc_id", "node", "root", "class_id")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -40,7 +40,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

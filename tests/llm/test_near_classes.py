@@ -31,3 +31,15 @@ def test_unrelated_texts_of_one_id_both_stay(spark):
     a, b, c = passage(1), passage(2), passage(3)
     got = kept(spark, [(7, a), (7, b), (8, changed(a, 119)), (9, changed(b, 119)), (None, c), (3, changed(c, 119))])
     assert sorted(got) == sorted([(7, " ".join(a)), (7, " ".join(b)), (3, " ".join(changed(c, 119)))])
+
+
+def test_no_column_depends_on_the_pivots_of_a_bucket(spark, monkeypatch):
+    prepare(spark)
+    words = passage(4)
+    docs = spark.createDataFrame([(i, " ".join(changed(words, i % 3 * 59) + [f"n{i}"])) for i in range(24)], "doc_id long, text string")
+    answers = []
+    for pivots in (2, 8, 100):
+        monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
+        answers.append(sorted(tuple(r) for r in near_dedup.classes(docs).collect()))
+    assert answers[0] == answers[1] == answers[2]
+    assert {r[3] for r in answers[0]} == {0}
