@@ -1,14 +1,15 @@
 r"""Line dedup by a segment-partition edit join.
 
-A line is a trimmed piece of a text between ``\n``; lines under ``SHORTEST`` characters are
-left alone.  Two lines are duplicates if they are equal or, from ``NEAR_FROM`` characters,
-within ``EDITS`` edits.  A line occurrence is dropped if an equal line occurs earlier (by
+A line is a trimmed piece of a text between ``\n`` that is not empty.  Two lines are
+duplicates if they are equal, or within a number of edits that grows with the longer one:
+of characters by ``CHARACTERS``, or of tokens (runs of ASCII without white space, single
+other characters) by ``TOKENS``.  A line occurrence is dropped if an equal line occurs earlier (by
 document id, then text hash and place) or the first occurrence of a near line is earlier
 than its own line's first; the earliest of all always stays.
 
-Near lines are found without comparing all pairs.  Each distinct line is cut evenly into
-``EDITS + 1`` segments, indexed by (length, segment, content).  A line probes the indexes of
-its own and the ``EDITS`` shorter lengths with those substrings whose shift an alignment
+Near lines are found without comparing all pairs.  For a threshold k, each distinct line is cut
+evenly into k + 1 segments, indexed by (length, segment, content).  A line probes the
+indexes of its own and the k shorter lengths with those pieces whose shift an alignment
 within the threshold allows; by the pigeonhole principle a near line shares one of them.
 Candidates are verified by the built-in edit distance with a threshold, which keeps to the
 band of 2 k + 1 diagonals (instead of bit vectors; see ``within``).
@@ -21,14 +22,18 @@ of any length is read whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import pin
 
-EDITS = 2
-SHORTEST = 20
-NEAR_FROM = 40
+#: Edits from so many characters, and from so many tokens, of the longer line.
+CHARACTERS = ((8, 1), (32, 2))
+TOKENS = ((16, 1), (32, 2), (64, 4))
+NEAR_FROM = CHARACTERS[0][0]
+Ladder = tuple[tuple[int, int], ...]
 #: Rows of the bitmap that sieves lines, the most that is broadcast.
 SIEVE = 2**18
 
@@ -38,11 +43,15 @@ def identity() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("rank"), F.xxhash64("text").alias("key")]
 
 
-def occurrences(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+def occurrences(docs: DataFrame) -> DataFrame:
     """Document (rank, key), place, line and its hash of every line that counts."""
     lines = docs.select(*identity(), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("place", "line"))
     lines = lines.select("rank", "key", "place", F.trim("line").alias("line"), F.xxhash64(F.trim("line")).alias("hash"))
-    return lines.filter(F.length("line") >= shortest)
+    return lines.filter("line <> ''")
+
+
+def tokens(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit(r"[\x21-\x7E]+|[^\x00-\x7F]"), F.lit(0))
 
 
 def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
@@ -58,43 +67,84 @@ def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     return out
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
+def _index(piece: Callable[[Column, Column], Column], length: Column, edits: int) -> Column:
     return F.array(*[
-        F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size)) for i, (start, size) in enumerate(_segments(length, edits))
+        F.xxhash64(F.lit(edits), length, F.lit(i), piece(start + 1, size)) for i, (start, size) in enumerate(_segments(length, edits))
     ])
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Substrings that a line of ``length - d`` within the threshold may have as a segment."""
+def _probes(piece: Callable[[Column, Column], Column], length: Column, edits: int) -> Column:
+    """Pieces that a line of ``length - d`` within the threshold may have as a segment."""
     keys = []
     for d in range(edits + 1):
         other = length - d
         for i, (start, size) in enumerate(_segments(other, edits)):
             low, high = max(-i, d - (edits - i)), min(i, d + (edits - i))
-            keys += [F.xxhash64(other, F.lit(i), F.substring(line, start + shift + 1, size)) for shift in range(low, high + 1)]
-    return F.array_distinct(F.array(*keys))
+            keys += [F.xxhash64(F.lit(edits), other, F.lit(i), piece(start + shift + 1, size)) for shift in range(low, high + 1)]
+    return F.array(*keys)
+
+
+def index_keys(piece: Callable[[Column, Column], Column], length: Column, ladder: Ladder) -> Column:
+    """Segments of a line for each class that a near longer line may be of."""
+    none, out = F.array().cast("array<long>"), []
+    for (least, edits), above in zip(ladder, [*(x for x, _ in ladder[1:]), None], strict=True):
+        within_class = length >= least - edits if above is None else (length >= least - edits) & (length < above)
+        out.append(F.when(within_class, _index(piece, length, edits)).otherwise(none))
+    return F.concat(*out)
+
+
+def probe_keys(piece: Callable[[Column, Column], Column], length: Column, ladder: Ladder) -> Column:
+    out = F.array().cast("array<long>")
+    for least, edits in ladder:
+        out = F.when(length >= least, _probes(piece, length, edits)).otherwise(out)
+    return out
 
 
-def within(x: Column, y: Column, edits: int) -> Column:
-    """Whether two lines are within ``edits`` edits, by the built-in banded edit distance.
+def within(x: Column, y: Column, length: Column, ladder: Ladder) -> Column:
+    """Whether two lines are within the edits of their class, by the built-in banded edit distance.
 
     It walks a band of 2 k + 1 diagonals in compiled code.  Bit vectors written as column
     functions are interpreted, character by character, and were hundreds of times slower.
     """
-    return F.levenshtein(x, y, edits) >= 0
+    out = F.lit(False)
+    for least, edits in ladder:
+        out = F.when(length >= least, F.levenshtein(x, y, edits) >= 0).otherwise(out)
+    return out
 
 
-def near_pairs(lines: DataFrame, edits: int = EDITS, near_from: int = NEAR_FROM) -> DataFrame:
+def near_pairs(lines: DataFrame) -> DataFrame:
     """Pairs (longer, shorter) of hashes of distinct lines that share a key; ``lines``: hash, line."""
-    long_lines = lines.select("hash", "line", F.length("line").alias("length"))
-    probes = long_lines.filter(F.col("length") >= near_from)
-    keys = probe_keys(F.col("line"), F.col("length"), edits)
-    probes = probes.select(F.col("hash").alias("longer"), F.explode(keys).alias("key"))
-    indexed = long_lines.filter(F.col("length") >= near_from)
-    indexed = indexed.select(F.col("hash").alias("shorter"), F.explode(index_keys(F.col("line"), F.col("length"), edits)).alias("key"))
+    cut = lines.filter(F.length("line") >= NEAR_FROM).select("hash", "line", F.length("line").alias("length"), tokens(F.col("line")).alias("tokens"))
+    cut = cut.withColumn("n", F.size("tokens"))
+    by_character = (lambda start, size: F.substring("line", start, size)), F.col("length"), CHARACTERS
+    by_token = (lambda start, size: F.slice("tokens", start, size)), F.col("n"), TOKENS
+    probes = F.array_distinct(F.concat(probe_keys(*by_character), probe_keys(*by_token)))
+    indexed = F.array_distinct(F.concat(index_keys(*by_character), index_keys(*by_token)))
+    probes = cut.select(F.col("hash").alias("longer"), F.explode(probes).alias("key"))
+    indexed = cut.select(F.col("hash").alias("shorter"), F.explode(indexed).alias("key"))
     return probes.join(indexed, "key").filter("longer <> shorter").select("longer", "shorter").distinct()
 
 
+def verified(both: DataFrame) -> DataFrame:
+    """The rows (longer, shorter, x, y) whose lines x and y are near.
+
+    For the distance in tokens each token of a pair is written as one character, that of its
+    place among the pair's tokens.  The last step is no filter, which Spark would push below
+    the others, so that they were computed again for every token.
+    """
+    rows = both.select("longer", "shorter", "x", "y", tokens(F.col("x")).alias("tx"), tokens(F.col("y")).alias("ty"))
+    rows = rows.withColumn("known", F.array_distinct(F.concat("tx", "ty")))
+
+    def written(column: str) -> Column:
+        code = lambda t: F.lpad(F.hex(F.array_position("known", t) + 65536), 8, "0")
+        return F.array_join(F.transform(column, lambda t: F.decode(F.unhex(code(t)), "UTF-32")), "")
+
+    rows = rows.select("longer", "shorter", "x", "y", written("tx").alias("wx"), written("ty").alias("wy"))
+    near = within(F.col("x"), F.col("y"), F.greatest(F.length("x"), F.length("y")), CHARACTERS)
+    near = near | within(F.col("wx"), F.col("wy"), F.greatest(F.length("wx"), F.length("wy")), TOKENS)
+    return rows.select("longer", "shorter", F.explode(F.when(near, F.array(F.lit(1))))).select("longer", "shorter")
+
+
 def sieved(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """The lines whose hash may be among ``wanted``, so that the others' text is not shuffled.
 
@@ -107,27 +157,27 @@ def sieved(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.filter(F.expr(f"getbit(marks, {bit}) = 1")).select(*lines.columns)
 
 
-def near_links(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near_from: int = NEAR_FROM) -> tuple[DataFrame, DataFrame]:
+def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct lines (hash, first, copies) and the verified links (x, y) between their hashes."""
-    lines = occurrences(docs, shortest)
+    lines = occurrences(docs)
     distinct = lines.groupBy("hash").agg(
         F.min(F.struct("rank", "key", "place")).alias("first"), F.count("*").alias("copies"), F.first("line").alias("line")
     )
     keyed = distinct.select("hash", "first", "copies", "line")
-    pairs = pin(near_pairs(keyed, edits, near_from), "pairs")
+    pairs = pin(near_pairs(keyed), "pairs")
     known = pin(lines.groupBy("hash").agg(F.min(F.struct("rank", "key", "place")).alias("first"), F.count("*").alias("copies")), "lines")
     wanted = pin(pairs.select(F.col("longer").alias("hash")).union(pairs.select("shorter")).distinct(), "wanted")
     spelled = sieved(lines.select("hash", "line"), wanted).dropDuplicates(["hash"])
     spelled = pin(spelled.join(wanted, "hash", "left_semi"), "spelled")
     both = pairs.join(spelled.select(F.col("hash").alias("longer"), F.col("line").alias("x")), "longer")
     both = both.join(spelled.select(F.col("hash").alias("shorter"), F.col("line").alias("y")), "shorter")
-    links = both.filter(within(F.col("x"), F.col("y"), edits)).select("longer", "shorter")
+    links = verified(both)
     return known, pin(links.select(F.least("longer", "shorter").alias("x"), F.greatest("longer", "shorter").alias("y")).distinct(), "links")
 
 
-def repeated(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near_from: int = NEAR_FROM) -> DataFrame:
+def repeated(docs: DataFrame) -> DataFrame:
     """Line hashes with more than one occurrence or a near line: first, links, earlier."""
-    known, links = near_links(docs, edits, shortest, near_from)
+    known, links = near_links(docs)
     both = links.select(F.col("x").alias("hash"), F.col("y").alias("other")).union(links.select("y", "x"))
     other = known.select(F.col("hash").alias("other"), F.col("first").alias("other_first"))
     near = both.join(other, "other").groupBy("hash").agg(F.count("*").alias("links"), F.min("other_first").alias("near_first"))
@@ -138,10 +188,10 @@ def repeated(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near
     )
 
 
-def decisions(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST, near_from: int = NEAR_FROM) -> DataFrame:
+def decisions(docs: DataFrame) -> DataFrame:
     """Every line occurrence (rank, key, place) with hash, length, links and what it is: kept, exact or near."""
-    known = repeated(docs, edits, shortest, near_from)
-    lines = occurrences(docs, shortest).select("rank", "key", "place", "hash", F.length("line").alias("length"))
+    known = repeated(docs)
+    lines = occurrences(docs).select("rank", "key", "place", "hash", F.length("line").alias("length"))
     joined = lines.join(known, "hash", "left")
     is_first = F.col("first").isNull() | (F.struct("rank", "key", "place") == F.col("first"))
     what = F.when(~is_first, "exact").when(F.col("earlier"), "near").otherwise("kept")
