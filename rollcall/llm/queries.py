@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rollcall.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dedup, packing, pii, quality_knn, suffix_dedup, url_filter
+from rollcall.llm import decontaminate, fill_middle, fingerprint, license_scan, line_dedup, near_dedup, packing, pii, quality_knn, suffix_dedup, url_filter
 from rollcall.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.spans(table(spark, sf_dir, "documents")))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -59,7 +63,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_knn, op2_suffix_dedup, op3_line_dedup, op4_best_fit_packing, op5_url_reputation, op6_license_scan,
-        op7_fingerprints, op8_near_dedup, op9_decontamination, op10_pii, pipeline,
+        op7_fingerprints, op8_near_dedup, op9_decontamination, op10_pii, op13_fill_in_middle, pipeline,
     )
 }
 ORACLES = {"op5_url_reputation": url_filter.ORACLE_SQL}
