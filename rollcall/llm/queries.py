@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rollcall.llm import decontaminate, fill_middle, fingerprint, hard_negatives, license_scan, line_dedup, near_dedup, packing, pii, quality_knn, suffix_dedup, url_filter
+from rollcall.llm import decontaminate, fill_middle, fingerprint, hard_negatives, jaccard_join, license_scan, line_dedup, near_dedup, packing, pii, quality_knn, suffix_dedup, url_filter
 from rollcall.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
 
@@ -69,7 +73,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_knn, op2_suffix_dedup, op3_line_dedup, op4_best_fit_packing, op5_url_reputation, op6_license_scan,
-        op7_fingerprints, op8_near_dedup, op9_decontamination, op10_pii, op11_hard_negatives, op13_fill_in_middle, pipeline,
+        op7_fingerprints, op8_near_dedup, op9_decontamination, op10_pii, op11_hard_negatives, op12_jaccard_join, op13_fill_in_middle, pipeline,
     )
 }
 ORACLES = {"op5_url_reputation": url_filter.ORACLE_SQL}
