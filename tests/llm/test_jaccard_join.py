@@ -110,8 +110,10 @@ def test_linked_sets_share_a_part(common, left, right, seed):
         assert set(keys[0].tolist()) & set(keys[1].tolist())
 
 
-def test_components(spark):
+@pytest.mark.parametrize("finish", [0, 20, 10**6])
+def test_components(spark, monkeypatch, finish):
     prepare(spark)
+    monkeypatch.setattr("rollcall.llm.components.FINISH", finish)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 200), (5, 5), (300, 300)]
     found = components(spark.createDataFrame(edges, "a long, b long"))
     roots = {r["node"]: r["root"] for r in found.collect()}
