@@ -17,7 +17,7 @@ from rollcall.plans.checks import validate_fact, validate_silver
 from rollcall.plans.facts import FACTS
 from rollcall.plans.feeds import SILVER_SOURCES, build_silver
 from rollcall.sources import files, tables
-from rollcall.sources.tables import BRONZE, GOLD, SILVER, ensure_schema, table_scan, write_table
+from rollcall.sources.tables import BRONZE, GOLD, SILVER, table_scan
 
 # Dimension: (typed tables it reads, builder).
 DIMENSIONS = {
@@ -36,21 +36,27 @@ def table_name(report_type: str) -> str:
 
 
 def load_bronze(spark: SparkSession, root: str, layer: str = BRONZE) -> dict[str, int]:
-    """Replace the raw layer: one string table per report type, and the dictionary."""
-    ensure_schema(spark, layer)
-    tables.reset_layer(spark, layer)
+    """Replace the raw layer: one string table per report type, and the dictionary.
+
+    The new tables are published together when all of them are written.  Where the upload
+    has no dictionary, the one of the layer stays.
+    """
     members = defaultdict(list)
-    for report_type, paths in files.paths_by_type(files.file_catalog(spark, root)).items():
-        members[table_name(report_type)] += paths
-    return {
-        name: write_table(files.read_raw_csv(spark, paths, root), layer, name)
-        for name, paths in members.items()
-    }
+    for report_type, groups in sorted(files.report_layout(spark, root).items()):
+        members[table_name(report_type)] += groups
+    dictionary = files.dictionary_files(spark, root)
+    with tables.publication(spark, layer, whole=True) as new:
+        rows = {name: new.write(files.read_groups(spark, groups, root), name) for name, groups in members.items()}
+        if dictionary:
+            rows[files.DICTIONARY_FOLDER] = new.write(files.read_with_inference(spark, dictionary), files.DICTIONARY_FOLDER)
+        else:
+            new.keep(files.DICTIONARY_FOLDER)
+    return rows
 
 
 def load_dictionary(spark: SparkSession, paths: str, layer: str = BRONZE) -> int:
-    ensure_schema(spark, layer)
-    return write_table(files.read_with_inference(spark, paths), layer, files.DICTIONARY_FOLDER)
+    with tables.publication(spark, layer) as new:
+        return new.write(files.read_with_inference(spark, paths), files.DICTIONARY_FOLDER)
 
 
 def _available(spark: SparkSession, layer: str, names: Sequence[str]) -> dict[str, DataFrame]:
@@ -62,30 +68,30 @@ def load_silver(
     spark: SparkSession, names: Sequence[str] | None = None, bronze: str = BRONZE, silver: str = SILVER
 ) -> dict[str, int]:
     """Write the typed tables whose raw tables exist."""
-    ensure_schema(spark, silver)
     rows = {}
-    for name in names or SILVER_SOURCES:
-        raw = _available(spark, bronze, SILVER_SOURCES[name])
-        if not raw:
-            continue
-        mode = "fail" if name in FIXED_SCHEMA else "replace"
-        rows[name] = write_table(build_silver(name, raw), silver, name, on_schema_change=mode)
+    with tables.publication(spark, silver) as new:
+        for name in names or SILVER_SOURCES:
+            raw = _available(spark, bronze, SILVER_SOURCES[name])
+            if not raw:
+                continue
+            mode = "fail" if name in FIXED_SCHEMA else "replace"
+            rows[name] = new.write(build_silver(name, raw), name, on_schema_change=mode)
     return rows
 
 
 def load_gold(spark: SparkSession, silver: str = SILVER, gold: str = GOLD) -> dict[str, int]:
     """Write the dimensions, then the facts whose typed tables exist."""
-    ensure_schema(spark, gold)
     rows = {}
-    for name, (sources, build) in DIMENSIONS.items():
-        found = _available(spark, silver, sources)
-        if len(found) == len(sources):
-            rows[name] = write_table(build(*found.values()), gold, name)
-    built = {d.removeprefix("dim_"): table_scan(spark, gold, d) for d in DIMENSIONS if d in rows}
-    for name, (sources, build) in FACTS.items():
-        found = _available(spark, silver, sources)
-        if len(found) == len(sources):
-            rows[name] = write_table(build(*found.values(), built), gold, name)
+    with tables.publication(spark, gold) as new:
+        for name, (sources, build) in DIMENSIONS.items():
+            found = _available(spark, silver, sources)
+            if len(found) == len(sources):
+                rows[name] = new.write(build(*found.values()), name)
+        built = {d.removeprefix("dim_"): new.scan(d) for d in DIMENSIONS if d in rows}
+        for name, (sources, build) in FACTS.items():
+            found = _available(spark, silver, sources)
+            if len(found) == len(sources):
+                rows[name] = new.write(build(*found.values(), built), name)
     return rows
 
 

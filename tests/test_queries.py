@@ -1,14 +1,13 @@
-"""Every registered query against its SQL statement on the smallest tables."""
+"""Every registered query of the library against its SQL statement on the smallest tables."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from check_oracle import canonical
-from workload.registry import TABLES
+from workload.registry import ORACLES, QUERIES, TABLES, runnable
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +20,8 @@ def duck():
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -29,7 +30,7 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = QUERIES[name](spark, SF)
+    df = runnable(name)(spark, SF)
     columns = sorted(df.columns)
     got = canonical([tuple(r) for r in df.select(*[f"`{c}`" for c in columns]).collect()])
     result = duck.execute(ORACLES[name])
