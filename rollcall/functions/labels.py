@@ -131,5 +131,7 @@ def year_start(c: Column) -> Column:
 
 
 def year_end(c: Column) -> Column:
-    """``'2023-24'`` as 2024 (two-digit part in the 2000s)."""
-    return F.substring(c, 6, 2).try_cast("int") + 2000
+    """``'2023-24'`` as 2024 and ``'1999-00'`` as 2000: the first such year after the start."""
+    start, end = year_start(c), F.substring(c, 6, 2).try_cast("int")
+    century = start - start % 100
+    return century + end + F.when(end < start % 100, 100).otherwise(0)

@@ -46,8 +46,9 @@ def backfill(
     the first of ``fill``) are known.  A key with several tuples yields one row per
     tuple under ``fanout`` and stays NULL under ``null``.
 
-    Only rows that lack a value are joined; complete rows go around the join, so they
-    are neither shuffled nor multiplied.
+    The rows are read once for the join and once, by four columns, for the lookup.  A row
+    that needs no fill joins under a NULL key, which matches nothing, and a hash of its own,
+    which spreads such rows where the join shuffles.
     """
     required = list(required or fill[:1])
     lookup = _lookup(df, keys, fill, required)
@@ -68,20 +69,17 @@ def backfill(
     found = lookup.select(
         *[col_of(k).alias(f"_key_{i}") for i, k in enumerate(keys)],
         *[col_of(c).alias(f"_fill_{i}") for i, c in enumerate(fill)],
+        F.lit(0).cast("long").alias("_spread"),
     )
-    same = reduce(lambda a, b: a & b, [col_of(k) == F.col(f"_key_{i}") for i, k in enumerate(keys)])
+    same = [F.when(fillable, col_of(k)) == F.col(f"_key_{i}") for i, k in enumerate(keys)]
+    same.append(F.when(fillable, F.lit(0).cast("long")).otherwise(F.xxhash64(*cols_of(df.columns))) == F.col("_spread"))
     position = {c: i for i, c in enumerate(fill)}
-    filled = (
-        df.filter(fillable)
-        .join(found, same, "left")
-        .select(
-            *[
-                F.coalesce(col_of(c), F.col(f"_fill_{position[c]}")).alias(c) if c in position else col_of(c)
-                for c in df.columns
-            ]
-        )
+    return df.join(found, reduce(lambda a, b: a & b, same), "left").select(
+        *[
+            F.coalesce(col_of(c), F.col(f"_fill_{position[c]}")).alias(c) if c in position else col_of(c)
+            for c in df.columns
+        ]
     )
-    return df.filter(~fillable).unionByName(filled)
 
 
 def ambiguous_keys(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from rollcall.operators.shape import col_of, cols_of, has_column
 
 LINEAGE = ("source_year", "source_file")
+# Rows of 64 bits in the bitmap of recurring keys, the most that is broadcast.
+SIEVE = 2**18
 
 
 def total_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
@@ -31,11 +33,44 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+def _places(digest: Column) -> tuple[Column, Column]:
+    """Row and bit of a hash in the bitmap."""
+    bit = F.shiftrightunsigned(digest, 32).bitwiseAND(F.lit(63)).cast("int")
+    return F.pmod(digest, F.lit(SIEVE)), F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+
+
+def split_recurring(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key occurs once, the other rows and few of the first kind).
+
+    Hashes of the keys are counted, and those that recur are marked in a bitmap of at most
+    ``SIEVE`` rows, which is broadcast.  Neither part is shuffled.  ``df`` is read three
+    times, first by its keys alone; where it is more than a scan, pin it.
+    """
+    slot, bit = _places(F.xxhash64(*cols_of(keys)))
+    twice = df.groupBy(F.xxhash64(*cols_of(keys)).alias("_digest")).agg(F.count("*").alias("_n")).filter("_n > 1")
+    row, mark = _places(F.col("_digest"))
+    marks = twice.groupBy(row.alias("_slot")).agg(F.bit_or(mark).alias("_marks"))
+    marked = df.join(F.broadcast(marks), slot == F.col("_slot"), "left")
+    recurs = F.coalesce(F.col("_marks").bitwiseAND(bit) != 0, F.lit(False))
+    return marked.filter(~recurs).select(*cols_of(df.columns)), marked.filter(recurs).select(*cols_of(df.columns))
+
+
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
     """One row per business key, chosen by a total order (same result on every run)."""
     return first_per_key(df, keys, order or total_order(df, keys))
 
 
+def dedup_sieved(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+    """:func:`dedup` for tables with few copies and a costly shuffle.
+
+    Only rows of recurring keys are ordered; the others are passed on from the scan, neither
+    sorted nor shuffled, at the price of reading the table three times.  Where copies abound
+    :func:`dedup` is faster, because its rank limit drops them before the shuffle.
+    """
+    single, recurring = split_recurring(df, keys)
+    return single.unionByName(first_per_key(recurring, keys, order or total_order(df, keys)))
+
+
 def dedup_rows(df: DataFrame) -> DataFrame:
     """Full-row distinct."""
     return df.dropDuplicates()

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators.shape import cols_of, level_filter
+from rollcall.operators.shape import col_of, cols_of, level_filter
 from rollcall.session import pin
 
 # ``monotonically_increasing_id`` keeps the partition above this bit, the row below it.
@@ -31,6 +31,8 @@ def surrogate_key(
     row = F.col("_at").bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows")).collect()
     # One entry per sort partition: its size is bounded by the shuffle width, not the data.
+    # One entry per sort partition: its size is bounded by the shuffle width, not the data.
+    # A join with them would do as well, but Catalyst would then guess the dimension's size.
     rows_in = {size["_part"]: size["_rows"] for size in sizes}
     offsets, before = [], start
     for i in range(max(rows_in, default=-1) + 1):
@@ -43,6 +45,34 @@ def surrogate_key(
     )
 
 
+def surrogate_key_onto(
+    df: DataFrame,
+    previous: DataFrame,
+    name: str,
+    business_key: Sequence[str],
+    order_by: Sequence[Column],
+    keep_missing: bool = True,
+) -> DataFrame:
+    """:func:`surrogate_key` that keeps the keys of a previous load.
+
+    Members that ``previous`` knows by their business key (NULL equals NULL) keep their key
+    and get their new attributes; new members are numbered densely behind the highest key.
+    Members that are gone keep their row unless ``keep_missing`` is off, because facts may
+    refer to it; their keys are not given to others either way.
+    """
+    known = previous.select(*[col_of(c).alias(f"_old_{i}") for i, c in enumerate(business_key)], F.col(name))
+    same = reduce(lambda a, b: a & b, [col_of(c).eqNullSafe(F.col(f"_old_{i}")) for i, c in enumerate(business_key)])
+    kept = df.join(known, same).select(name, *cols_of(df.columns))
+    highest = previous.agg(F.max(name)).first()[0]  # one number
+    added = surrogate_key(df.join(known, same, "left_anti"), name, order_by, start=1 if highest is None else highest + 1)
+    result = kept.unionByName(added)
+    if not keep_missing:
+        return result
+    current = df.select(*[col_of(c).alias(f"_new_{i}") for i, c in enumerate(business_key)])
+    seen = reduce(lambda a, b: a & b, [col_of(c).eqNullSafe(F.col(f"_new_{i}")) for i, c in enumerate(business_key)])
+    return result.unionByName(previous.join(current, seen, "left_anti").select(name, *cols_of(df.columns)))
+
+
 def _pairs(on: str | Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     if isinstance(on, str):
         return {on: on}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from rollcall.operators import quality as Q
 from rollcall.operators.dedup import dedup_report
-from rollcall.operators.shape import union_with_drift, with_missing
+from rollcall.operators.shape import union_with_drift
 from rollcall.plans import feeds
 
 PERCENT = (0, 100)
@@ -154,7 +154,7 @@ def reconcile_silver(name: str, raw: Mapping[str, DataFrame], silver: DataFrame)
         ]
     else:
         parts = [(feeds.SINGLE_FEEDS[name], raw[name])]
-    kept = [feed.prepared(with_missing(df, feed.key)) for feed, df in parts]
+    kept = [feed.prepared(df) for feed, df in parts]
     removed = union_with_drift([dedup_report(df, feed.key) for (feed, _), df in zip(parts, kept, strict=True)])
     return Q.reconcile(union_with_drift(kept), removed, silver, name)
 

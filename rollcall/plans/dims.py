@@ -13,7 +13,7 @@ from rollcall.functions.labels import TOTAL_SUBGROUP, subgroup_category, year_en
 from rollcall.operators.conform import conform
 from rollcall.operators.history import attribute_spans, scd2_history, scd_current
 from rollcall.operators.shape import cols_of
-from rollcall.operators.star import surrogate_key
+from rollcall.operators.star import surrogate_key, surrogate_key_onto
 
 # Fixed value: first year of the data, the start of every current school row.
 EARLIEST_YEAR = "2010-11"
@@ -28,7 +28,16 @@ SCHOOL_ATTRIBUTES = (
 _PRIORITY = "_priority"
 
 
-def dim_year(*sources: DataFrame) -> DataFrame:
+def _numbered(
+    members: DataFrame, key: str, business_key: Sequence[str], order: Sequence[Column], previous: DataFrame | None
+) -> DataFrame:
+    """Members with their key; those of a previous dimension keep it."""
+    if previous is None:
+        return surrogate_key(members, key, order)
+    return surrogate_key_onto(members, previous, key, business_key, order)
+
+
+def dim_year(*sources: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """One row per school year of the sources."""
     years = reduce(lambda a, b: a.unionByName(b), [s.select("school_year") for s in sources]).distinct()
     year = F.col("school_year")
@@ -40,7 +49,7 @@ def dim_year(*sources: DataFrame) -> DataFrame:
         year_end(year).alias("sort_order"),
     )
     order = [F.asc_nulls_first("sort_order"), F.asc_nulls_first("school_year")]
-    return surrogate_key(members, "year_key", order)
+    return _numbered(members, "year_key", ["school_year"], order, previous)
 
 
 def subgroup_members(eog: DataFrame) -> DataFrame:
@@ -53,10 +62,10 @@ def subgroup_members(eog: DataFrame) -> DataFrame:
     )
 
 
-def dim_subgroup(eog: DataFrame) -> DataFrame:
+def dim_subgroup(eog: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """One row per subgroup label, with its category."""
     order = [F.asc_nulls_first("subgroup_category"), F.asc_nulls_first("subgroup")]
-    return surrogate_key(subgroup_members(eog), "subgroup_key", order)
+    return _numbered(subgroup_members(eog), "subgroup_key", ["subgroup"], order, previous)
 
 
 def _assessment(name: str, category: str, **known: Column) -> dict[str, Column]:
@@ -84,20 +93,12 @@ def assessment_members(eog: DataFrame, eoc: DataFrame, sat: DataFrame, act: Data
     ).distinct()
 
 
-def dim_assessment(eog: DataFrame, eoc: DataFrame, sat: DataFrame, act: DataFrame) -> DataFrame:
+def dim_assessment(
+    eog: DataFrame, eoc: DataFrame, sat: DataFrame, act: DataFrame, previous: DataFrame | None = None
+) -> DataFrame:
     members = assessment_members(eog, eoc, sat, act)
-    order = [
-        F.asc_nulls_first(c)
-        for c in (
-            "assessment_category",
-            "assessment_name",
-            "grade_level",
-            "subject",
-            "assessment_format",
-            "score_type",
-        )
-    ]
-    return surrogate_key(members, "assessment_key", order)
+    columns = ("assessment_category", "assessment_name", "grade_level", "subject", "assessment_format", "score_type")
+    return _numbered(members, "assessment_key", columns, [F.asc_nulls_first(c) for c in columns], previous)
 
 
 def school_versions(*sources: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def school_versions(*sources: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def dim_school(*sources: DataFrame) -> DataFrame:
+def dim_school(*sources: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Current attributes per institution (type 2 columns are constant).
 
     No distinct is needed first: the latest-row rank already drops copies before the
@@ -120,7 +121,7 @@ def dim_school(*sources: DataFrame) -> DataFrame:
         EARLIEST_YEAR,
         tie_break=[F.asc(_PRIORITY)],
     ).drop(_PRIORITY)
-    return surrogate_key(current, "school_key", [F.asc_nulls_first("institution_key")])
+    return _numbered(current, "school_key", ["institution_key"], [F.asc_nulls_first("institution_key")], previous)
 
 
 def school_spans(*sources: DataFrame) -> DataFrame:

@@ -26,8 +26,9 @@ from rollcall.functions.labels import (
 )
 from rollcall.operators.conform import backfill, tag_source
 from rollcall.operators.dedup import dedup_rows
-from rollcall.operators.shape import cols_of, require_any, union_with_drift, with_missing
+from rollcall.operators.shape import require_any, union_with_drift, with_missing
 from rollcall.plans.spec import LINEAGE_FIELDS, Feed, count, derived, measure, rate, text
+from rollcall.session import pin
 
 # Subgroups, metrics and programs in the raw column names.
 ATTENDANCE_SUBGROUPS = (
@@ -265,6 +266,7 @@ act = Feed(
         *LINEAGE_FIELDS,
     ),
     silver_key=(*_PLACE_KEY, "subgroup", "test_component"),
+    spellings=((_DISTRICT, "SCHOOL_DISTRCT_CD"),),
 )
 
 # SAT rows are distinct as a whole; see build_sat.
@@ -333,6 +335,7 @@ revenues = Feed(
     ),
     silver_key=(*_PLACE_KEY, "revenue_expenditure_type", "category"),
     prepare=lambda raw: require_any(raw, REVENUE_COLUMNS["school_year"], REVENUE_COLUMNS["district_code"]),
+    spellings=tuple(REVENUE_COLUMNS[c] for c in ("school_year", "district_code", "institution_number")),
 )
 
 
@@ -401,10 +404,13 @@ def sat_union(raw: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_sat(raw: Mapping[str, DataFrame], on_conflict: str = "fanout") -> DataFrame:
-    """Union, backfill the district by school number and name, distinct, type."""
-    rows = sat_union(raw)
+    """Union, backfill the district by school number and name, distinct, type.
+
+    Rows are copies only if all their raw columns are equal, those that the feed does not
+    read included.  The union is written once, so each of the five tables is read once.
+    """
     rows = backfill(
-        rows.select(*cols_of(sat.raw_columns())),
+        pin(sat_union(raw), "sat_union"),
         keys=[_SCHOOL, "INSTN_NAME"],
         fill=["SCHOOL_DISTRCT_CD", "SCHOOL_DSTRCT_NM"],
         on_conflict=on_conflict,

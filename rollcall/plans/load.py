@@ -80,13 +80,18 @@ def load_silver(
 
 
 def load_gold(spark: SparkSession, silver: str = SILVER, gold: str = GOLD) -> dict[str, int]:
-    """Write the dimensions, then the facts whose typed tables exist."""
+    """Write the dimensions, then the facts whose typed tables exist.
+
+    Members that a dimension of the layer knows keep their keys; new ones are numbered
+    behind them.
+    """
     rows = {}
     with tables.publication(spark, gold) as new:
         for name, (sources, build) in DIMENSIONS.items():
             found = _available(spark, silver, sources)
             if len(found) == len(sources):
-                rows[name] = new.write(build(*found.values()), name)
+                previous = _available(spark, gold, [name]).get(name)
+                rows[name] = new.write(build(*found.values(), previous=previous), name)
         built = {d.removeprefix("dim_"): new.scan(d) for d in DIMENSIONS if d in rows}
         for name, (sources, build) in FACTS.items():
             found = _available(spark, silver, sources)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from rollcall.functions.cleanse import TFS, clean_decimal, clean_double, clean_int
 from rollcall.operators.dedup import LINEAGE, dedup
-from rollcall.operators.shape import col_of, with_missing
+from rollcall.operators.shape import col_of, has_column, with_missing
 
 
 @dataclass(frozen=True)
@@ -45,18 +45,34 @@ def derived(name: str, build: Callable[..., Column], *raw: str) -> Field:
     return Field(name, raw, build)
 
 
+class MissingKeyColumn(ValueError):
+    """A raw table lacks a column of its business key."""
+
+
 LINEAGE_FIELDS = (text("source_year", "source_year"), text("source_file", "source_file"))
 
 
 @dataclass(frozen=True)
 class Feed:
-    """Raw key, output fields and the key the result must be unique on."""
+    """Raw key, output fields and the key the result must be unique on.
+
+    Every key column has to be in the raw table, because rows that differ in one it lacks
+    would count as copies.  Of each group in ``spellings`` one column suffices.
+    """
 
     name: str
     key: tuple[str, ...]
     fields: tuple[Field, ...]
     silver_key: tuple[str, ...]
     prepare: Callable[[DataFrame], DataFrame] | None = field(default=None)
+    spellings: tuple[tuple[str, ...], ...] = ()
+
+    def require_key(self, raw: DataFrame) -> None:
+        respelled = {c for group in self.spellings for c in group}
+        groups = [*((c,) for c in self.key if c not in respelled), *self.spellings]
+        absent = [group for group in groups if not any(has_column(raw, c) for c in group)]
+        if absent:
+            raise MissingKeyColumn(f"{self.name}: no column {', '.join(' or '.join(group) for group in absent)}")
 
     def raw_columns(self) -> list[str]:
         names = dict.fromkeys(self.key)
@@ -70,6 +86,7 @@ class Feed:
         The lineage columns stay even where the output lacks them: they decide which
         copy of a row is the newest.
         """
+        self.require_key(raw)
         needed = dict.fromkeys([*self.raw_columns(), *LINEAGE])
         raw = with_missing(raw, needed)
         if self.prepare is not None:

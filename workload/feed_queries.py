@@ -6,14 +6,14 @@ table texts with the Spark side.
 
 from __future__ import annotations
 
-from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
 from rollcall.plans import dims as D
 from rollcall.plans import facts as FA
+from rollcall.plans import staging
 from rollcall.plans.feeds import SILVER_SOURCES, build_silver
-from rollcall.session import pin
 from workload.raw_tables import RAW
 from workload.registry import Tables, query
 
@@ -289,9 +289,9 @@ _attributes = (
 DIM_SQL = {
     "year": f"""select row_number() over (order by sort_order nulls first, school_year nulls first) as year_key, *
 from (select distinct school_year, cast(substring(school_year, 1, 4) as integer) as start_calendar_year,
-    cast(substring(school_year, 6, 2) as integer) + 2000 as end_calendar_year,
-    cast(substring(school_year, 6, 2) as integer) + 2000 as fiscal_year,
-    cast(substring(school_year, 6, 2) as integer) + 2000 as sort_order
+    cast(substring(school_year, 1, 4) as integer) + 1 as end_calendar_year,
+    cast(substring(school_year, 1, 4) as integer) + 1 as fiscal_year,
+    cast(substring(school_year, 1, 4) as integer) + 1 as sort_order
   from ({SILVER_SQL['enrollment_by_grade']}) as e) as years""",
     "subgroup": f"""select row_number() over (order by subgroup_category, subgroup nulls first) as subgroup_key, *
 from (select distinct subgroup_name as subgroup,
@@ -460,20 +460,17 @@ _SUBGROUP_FACTS = ("fact_dropout", "fact_graduation", "fact_school_performance")
 
 def fact(t: Tables, name: str) -> DataFrame:
     """A fact with its dimensions.  Typed tables that several of them read are written
-    once, as they are in a load; the others are read in place."""
-    sources, build = FA.FACTS[name]
+    once, with the columns that they read; the others are read in place."""
+    _, build = FA.FACTS[name]
     dims = ["school", "year"]
     if name in _SUBGROUP_FACTS:
         dims.append("subgroup")
     if name == "fact_school_performance":
         dims.append("assessment")
-    uses = Counter([*sources, *[s for d in dims for s in DIM_SOURCES[d]]])
-    staged = {s: pin(silver(t, s), f"silver_{s}") for s, n in uses.items() if n > 1}
-
-    def source(t: Tables, s: str) -> DataFrame:
-        return staged[s] if s in staged else silver(t, s)
-
-    return build(*[source(t, s) for s in sources], {d: dimension(t, d, source) for d in dims})
+    staged = staging.stage([name, *(f"dim_{d}" for d in dims)], lambda s: silver(t, s))
+    with ThreadPoolExecutor(len(dims)) as builders:
+        built = dict(zip(dims, builders.map(lambda d: _DIM_BUILDERS[d](*staging.inputs(f"dim_{d}", staged)), dims), strict=True))
+    return build(*staging.inputs(name, staged), built)
 
 
 def _register_fact(name: str) -> None:

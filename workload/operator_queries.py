@@ -252,7 +252,7 @@ column_query(
 @query(
     "year_parts",
     oracle="""select o_orderkey, cast(year(o_orderdate) as integer) as start_year,
-  cast((year(o_orderdate) + 1) % 100 + 2000 as integer) as end_year from orders""",
+  cast(year(o_orderdate) + 1 as integer) as end_year from orders""",
 )
 def year_parts(t):
     label = F.concat(
@@ -619,6 +619,20 @@ def dedup_total_order(t):
     return dedup.dedup(feed(t).select(*columns), ["district_code", "institution_number"])
 
 
+_RECURRING = ["l_orderkey", "l_suppkey"]
+
+
+@query(
+    "dedup_sieved",
+    oracle="""select l_orderkey, l_suppkey, l_partkey, l_linenumber from (select *, row_number() over (
+  partition by l_orderkey, l_suppkey order by l_partkey, l_linenumber) as rn from lineitem) as r where rn = 1""",
+)
+def dedup_sieved(t):
+    """Few keys recur, so nearly all rows go around the ordering."""
+    rows = t.lineitem.select(*_RECURRING, "l_partkey", "l_linenumber")
+    return dedup.dedup_sieved(rows, _RECURRING)
+
+
 @query("dedup_rows", oracle="select distinct text, lang from documents")
 def dedup_rows(t):
     return dedup.dedup_rows(t.documents.select("text", "lang"))
@@ -659,6 +673,28 @@ def surrogate_key(t):
     return star.surrogate_key(rows, "customer_key", [F.desc("c_mktsegment"), F.asc("c_custkey")])
 
 
+@query(
+    "surrogate_key_incremental",
+    oracle="""with first as (select c_custkey, c_mktsegment, row_number() over (order by c_mktsegment desc, c_custkey) as customer_key
+  from customer where c_custkey % 3 = 0),
+added as (select c_custkey, c_mktsegment, (select max(customer_key) from first)
+    + row_number() over (order by c_mktsegment desc, c_custkey) as customer_key
+  from customer where c_custkey % 3 = 1)
+select customer_key, c_custkey, case when c_custkey % 2 = 0 then 'MOVED' else c_mktsegment end as c_mktsegment from first
+  where c_custkey % 5 <> 0
+union all select customer_key, c_custkey, c_mktsegment from first where c_custkey % 5 = 0
+union all select customer_key, c_custkey, c_mktsegment from added""",
+)
+def surrogate_key_incremental(t):
+    """A second load adds members, changes attributes of some and lacks others."""
+    order = [F.desc("c_mktsegment"), F.asc("c_custkey")]
+    rows = t.customer.select("c_custkey", "c_mktsegment")
+    first = pin(star.surrogate_key(rows.filter("c_custkey % 3 = 0"), "customer_key", order), "first_load")
+    moved = F.when((F.col("c_custkey") % 3 == 0) & (F.col("c_custkey") % 2 == 0), F.lit("MOVED")).otherwise(F.col("c_mktsegment"))
+    second = rows.filter("c_custkey % 3 = 1 or c_custkey % 3 = 0 and c_custkey % 5 <> 0").withColumn("c_mktsegment", moved)
+    return star.surrogate_key_onto(second, first, "customer_key", ["c_custkey"], order)
+
+
 @query(
     "latest_per_key",
     oracle=f"""select c_custkey, school_year, segment, priority from (select *, row_number() over (

@@ -34,15 +34,10 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
-        """A table over all cores.
-
-        The supplied files hold one row group each, hence one scan task whatever their
-        size.  A scan with at least as many tasks as cores, which is every large table,
-        is left as it is.
-        """
+        """A table dealt by its first column: the supplied files hold one row group each,
+        hence one scan task whatever their size."""
         df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        return df.repartition(df.columns[0])
 
     def sql(self, text: str) -> DataFrame:
         """Run adapter SQL, written so that both engines read it, on the tables."""
