@@ -10,6 +10,7 @@ from rollcall.operators import quality as Q
 from rollcall.operators.dedup import dedup_report
 from rollcall.operators.shape import union_with_drift
 from rollcall.plans import feeds
+from rollcall.plans.reconcile import feed_parts
 
 PERCENT = (0, 100)
 ACT_SCALE = (1, 36)
@@ -142,18 +143,7 @@ def reconcile_silver(name: str, raw: Mapping[str, DataFrame], silver: DataFrame)
     Rows that a feed leaves out before de-duplication (no year, no district) are not
     part of the raw side.
     """
-    if name == "sat":
-        raise ValueError("sat rows are filled and distinct as a whole; there is no key to reconcile on")
-    if name == "act":
-        frames = union_with_drift([raw[t] for t in feeds.ACT_TABLES if t in raw])
-        parts = [(feeds.act, frames)]
-    elif name == "direct_certification":
-        parts = [
-            (feeds.direct_certification_district, raw["direct_certification_district"]),
-            (feeds.direct_certification_school, raw["direct_certification_school"]),
-        ]
-    else:
-        parts = [(feeds.SINGLE_FEEDS[name], raw[name])]
+    parts = feed_parts(name, raw)
     kept = [feed.prepared(df) for feed, df in parts]
     removed = union_with_drift([dedup_report(df, feed.key) for (feed, _), df in zip(parts, kept, strict=True)])
     return Q.reconcile(union_with_drift(kept), removed, silver, name)

@@ -11,9 +11,13 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.plans import load
+from rollcall.operators import states
+from rollcall.plans import feeds, load
+from rollcall.plans.reconcile import write_reconciled
 from rollcall.session import pin, shared_dir
 from rollcall.sources import files, tables
+from workload.feed_queries import SILVER_SQL, dimension, raw_tables, silver
+from workload.raw_tables import RAW
 from workload.registry import Tables, query
 
 
@@ -182,3 +186,111 @@ def list_layer(t):
         listed = tables.list_layer(t.spark, layer).join(known, "table_name")
         number = F.substring_index("schema_name", "__", -1).cast("int").alias("load_number")
         return pin(listed.select("table_name", "rows", number), "list_layer")
+
+
+# -- reconciliation from the write --------------------------------------------------------------
+
+_RAW_ROWS = {
+    **{name: f"select count(*) as r from ({RAW[name]}) as t" for name in feeds.SINGLE_FEEDS},
+    "revenues": f"""select count(*) as r from ({RAW['revenues']}) as t
+  where coalesce(LONG_SCHOOL_YEAR, SCHOOL_YEAR) is not null and coalesce(SCHOOL_DSTRCT_CD, DISTRICT_CODE) is not null""",
+    "act": " union all ".join(f"select count(*) as r from ({RAW[name]}) as t" for name in feeds.ACT_TABLES),
+    "direct_certification": " union all ".join(
+        f"select count(*) as r from ({RAW[name]}) as t where FISCAL_YEAR is not null" for name in feeds.DIRECT_CERTIFICATION_TABLES
+    ),
+}
+
+
+def _register_reconcile(name: str) -> None:
+    @query(
+        f"reconcile_{name}",
+        oracle=f"""with raw as (select cast(sum(r) as bigint) as r from ({_RAW_ROWS[name]}) as parts),
+built as (select count(*) as b from ({SILVER_SQL[name]}) as s)
+select 'reconcile' as "check", '{name}' as subject, 'pass' as status, cast(b as double) as observed,
+  concat(cast(r as varchar), ' - ', cast(r - b as varchar)) as expected, cast(0 as bigint) as n from raw, built""",
+    )
+    def build(t: Tables) -> DataFrame:
+        """Counts of raw, kept and written rows, all from the job that writes the table."""
+        with scratch_layer(t) as layer, tables.publication(t.spark, layer) as new:
+            return write_reconciled(name, raw_tables(t, name), lambda df: new.write(df, name))
+
+
+for _name in _RAW_ROWS:
+    _register_reconcile(_name)
+
+
+@query(
+    "read_back_published",
+    oracle=f"""select 'nation' as table_name, count(*) as rows, 3 as columns from nation
+union all select 'dropout_rate', count(*), 14 from ({SILVER_SQL['dropout_rate']}) as s""",
+)
+def read_back_published(t):
+    """Rows and columns of published tables, as counted when they were written."""
+    with scratch_layer(t) as layer:
+        with tables.publication(t.spark, layer) as new:
+            new.write(t.nation, "nation")
+            new.write(silver(t, "dropout_rate"), "dropout_rate")
+        found = [tables.read_back(t.spark, layer, name) for name in ("nation", "dropout_rate")]
+        names = F.substring_index("table_name", ".", -1).alias("table_name")
+        return found[0].unionByName(found[1]).select(names, "rows", "columns")
+
+
+# -- mergeable states ---------------------------------------------------------------------------
+
+_MEASURES = ("l_quantity", "l_extendedprice", "l_tax")
+_GAPS = """select year(l_shipdate) as source_year, case when l_partkey % 10 = 0 then null else l_quantity end as l_quantity,
+  l_extendedprice, l_tax from lineitem"""
+
+
+@query(
+    "profile_incremental",
+    oracle=" union all ".join(
+        f"""select '{c}' as measure, count({c}) as n, count(*) - count({c}) as n_missing, cast(min({c}) as double) as min_value,
+  cast(max({c}) as double) as max_value, round(avg(cast({c} as double)), 6) as mean_value,
+  round(stddev_samp(cast({c} as double)), 6) as stddev_value, round(sum(cast({c} as double)), 2) as total_value
+from ({_GAPS}) as g"""
+        for c in _MEASURES
+    ),
+)
+def profile_incremental(t):
+    """States of the years before the last are kept; the last year's is added to them."""
+    rows = t.sql(_GAPS)
+    last = "source_year = 1998"
+    kept = pin(states.profile_state(rows.filter(f"not ({last})"), _MEASURES, ["source_year"]), "profile_state")
+    added = states.profile_state(rows.filter(last), _MEASURES, ["source_year"])
+    merged = states.merge_profiles(kept.unionByName(added))
+    rounded = {c: F.round(c, digits) for c, digits in (("mean_value", 6), ("stddev_value", 6), ("total_value", 2))}
+    return merged.withColumns(rounded)
+
+
+@query(
+    "distinct_incremental",
+    oracle="""select 'suppliers' as entity, year(l_shipdate) as source_year, count(distinct l_suppkey) as "values" from lineitem group by 2
+union all select 'parts', year(l_shipdate), count(distinct l_partkey) from lineitem group by 2
+union all select 'orders', year(l_shipdate), count(distinct l_orderkey) from lineitem group by 2
+union all select 'suppliers', null, count(distinct l_suppkey) from lineitem
+union all select 'parts', null, count(distinct l_partkey) from lineitem
+union all select 'orders', null, count(distinct l_orderkey) from lineitem""",
+)
+def distinct_incremental(t):
+    """Distinct codes per year and over all years, from bitmaps of two loads."""
+    rows = t.lineitem.withColumn("source_year", F.year("l_shipdate"))
+    codes = {"suppliers": "l_suppkey", "parts": "l_partkey", "orders": "l_orderkey"}
+    kept = pin(states.distinct_state(rows.filter("source_year <= 1996"), ["source_year"], codes), "distinct_state")
+    added = states.distinct_state(rows.filter("source_year > 1996"), ["source_year"], codes)
+    state = kept.unionByName(added)
+    whole = states.merge_distinct(state).withColumn("source_year", F.lit(None).cast("int"))
+    return states.merge_distinct(state, ["source_year"]).unionByName(whole)
+
+
+@query(
+    "schools_per_year",
+    oracle=f"""select school_year, count(distinct institution_key) as "values" from ({SILVER_SQL['enrollment_by_grade']}) as s
+where institution_key is not null group by school_year""",
+)
+def schools_per_year(t):
+    """Schools per year by bitmaps over the keys of the school dimension."""
+    rows = pin(silver(t, "enrollment_by_grade").select("institution_key", "school_year"), "grades")
+    schools = dimension(t, "school").select("institution_key", "school_key")
+    state = states.distinct_state(rows.join(schools, "institution_key"), ["school_year"], {"schools": "school_key"})
+    return states.merge_distinct(state, ["school_year"]).select("school_year", "values")
