@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rollcall.session import configure, pin
 
-__all__ = ["PrefixHash", "byte_chunks", "mix", "pin", "prepare", "shuffle_width", "table", "texts"]
+__all__ = ["PrefixHash", "byte_chunks", "fresh", "mix", "pin", "prepare", "shuffle_width", "table", "texts"]
 
 #: Rows per Arrow batch: long documents make large rows, and a batch has to fit a worker.
 ARROW_ROWS = 512
@@ -57,6 +57,14 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

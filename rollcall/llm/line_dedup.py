@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import pin
+from rollcall.llm.common import fresh, pin
 
 #: Edits from so many characters, and from so many tokens, of the longer line.
 CHARACTERS = ((8, 1), (32, 2))
@@ -215,13 +215,14 @@ def report(docs: DataFrame) -> DataFrame:
 
 def drop_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the dropped lines; all rows and columns stay, n_chars follows the text."""
-    gone = decisions(docs).filter("what <> 'kept'").groupBy("rank", "key").agg(F.collect_set("place").alias("_gone"))
+    places, of_rank, of_key = fresh(docs, "_gone"), fresh(docs, "_rank"), fresh(docs, "_key")
+    gone = decisions(docs).filter("what <> 'kept'").groupBy("rank", "key").agg(F.collect_set("place").alias(places))
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda line, i: ~F.array_contains("_gone", i))
-    drop = F.col("_gone").isNotNull()
+    kept = F.filter(lines, lambda line, i: ~F.array_contains(places, i))
+    drop = F.col(places).isNotNull()
     rank, key = identity()
-    gone = gone.withColumnsRenamed({"rank": "_rank", "key": "_key"})
-    out = docs.withColumn("_rank", rank).withColumn("_key", key).join(gone, ["_rank", "_key"], "left")
+    gone = gone.withColumnsRenamed({"rank": of_rank, "key": of_key})
+    out = docs.withColumn(of_rank, rank).withColumn(of_key, key).join(gone, [of_rank, of_key], "left")
     out = out.withColumn("text", F.when(drop, F.array_join(kept, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(drop, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

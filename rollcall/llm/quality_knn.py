@@ -194,8 +194,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit_documents(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on the labelled documents outside the held-out quarter."""
-    rows = labels.select("doc_id", F.col("quality").alias("label")).filter(~held_out()).dropDuplicates(["doc_id"])
+    """Fit on the labelled documents outside the held-out quarter.
+
+    Of several labels of a document the mean counts; null ones are no labels.
+    """
+    known = labels.select("doc_id", F.col("quality").alias("label")).filter(F.col("label").isNotNull() & ~held_out())
+    rows = known.groupBy("doc_id").agg(F.avg("label").alias("label"))
     return fit(docs.select("doc_id", "text").join(rows, "doc_id"))
 
 
