@@ -11,18 +11,19 @@ two words share them.  A worker keeps those of up to ``CACHED`` words, which cha
 
 Defined results: a null or empty text, or one of white space only, has the fingerprint of
 zeros and likeness 1 to another such text, 0 to the rest; equal texts have equal
-fingerprints; null ids sort first, equal ids by text.
+fingerprints; null ids sort first, equal ids by a hash of the text.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import PrefixHash, mix, shuffle_width, texts
@@ -161,29 +162,35 @@ def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def with_successors(docs: DataFrame) -> DataFrame:
-    """Documents dealt into ranges of ids, each range ended by the first row of the next.
+    """Documents dealt into ranges of (id, text hash), each ended by the first row of the next.
 
-    One shuffle of the texts.  Only the range bounds and the smallest id of each range pass
-    through the driver: as many numbers as there are shuffle partitions.
+    One shuffle of the texts.  An id that fills several ranges, such as null, is split by the
+    hash.  Only the range bounds and the first row's id and hash of each range pass through
+    the driver and are broadcast: as many as there are shuffle partitions.
     """
     spark = docs.sparkSession
-    rows = texts(docs).withColumn("rank", F.coalesce("doc_id", F.lit(-(2**63))))
+    rows = texts(docs).withColumn("rank", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("hash", F.xxhash64("text"))
     width = shuffle_width(spark)
-    bounds = rows.stat.approxQuantile("rank", [i / width for i in range(1, width)], 0.2 / width)
-    bounds = sorted({int(b) for b in bounds})
-    part = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b <= F.col("rank"))) if bounds else F.lit(0)
-    rows = rows.withColumn("part", part)
-    heads = sorted(tuple(r) for r in rows.groupBy("part").agg(F.min("rank")).collect())
-    guests = spark.createDataFrame([(rank, heads[i - 1][0]) for i, (_, rank) in enumerate(heads)], "rank long, visited int")
-    dealt = rows.join(guests, "rank", "left").select(
-        "doc_id", "rank", "text",
+    found = Counter(int(b) for b in rows.stat.approxQuantile("rank", [i / width for i in range(1, width)], 0.2 / width))
+    bounds = [(rank, -(2**63) + i * (2**64 // n)) for rank, n in sorted(found.items()) for i in range(n)]
+
+    def reached(bound: Column) -> Column:
+        return (bound["rank"] < F.col("rank")) | ((bound["rank"] == F.col("rank")) & (bound["hash"] <= F.col("hash")))
+
+    listed = [F.struct(F.lit(rank).cast("long").alias("rank"), F.lit(h).cast("long").alias("hash")) for rank, h in bounds]
+    rows = rows.withColumn("part", F.size(F.filter(F.array(*listed), reached)) if listed else F.lit(0))
+    heads = sorted(tuple(r) for r in rows.groupBy("part").agg(F.min(F.struct("rank", "hash")).alias("head")).select("part", "head.*").collect())
+    guests = [(rank, h, heads[i - 1][0]) for i, (_, rank, h) in enumerate(heads)]
+    guests = F.broadcast(spark.createDataFrame(guests, "rank long, hash long, visited int"))
+    dealt = rows.join(guests, ["rank", "hash"], "left").select(
+        "doc_id", "rank", "hash", "text",
         F.explode(F.array_compact(F.array(
             F.struct(F.col("part"), F.lit(False).alias("guest")),
             F.when(F.col("visited").isNotNull(), F.struct(F.col("visited").alias("part"), F.lit(True).alias("guest"))),
         ))).alias("place"),
     )
-    dealt = dealt.select("place.part", "place.guest", "rank", "doc_id", "text")
-    return dealt.repartition(width, "part").sortWithinPartitions("part", "guest", "rank", "text").select("guest", "doc_id", "text")
+    dealt = dealt.select("place.part", "place.guest", "rank", "hash", "doc_id", "text")
+    return dealt.repartition(width, "part").sortWithinPartitions("part", "guest", "rank", "hash").select("guest", "doc_id", "text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
