@@ -30,7 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import PrefixHash, byte_chunks, mix, pin, texts
+from rollcall.llm.common import PrefixHash, byte_chunks, fresh, mix, pin, texts
+from rollcall.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -186,8 +187,8 @@ def _measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": frame["a"], "b": frame["b"], "likeness": likeness})
 
 
-def with_node(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(NODE, F.xxhash64(F.coalesce("text", F.lit(""))))
+def with_node(docs: DataFrame, name: str = NODE) -> DataFrame:
+    return docs.withColumn(name, F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
 def candidate_pairs(keyed: DataFrame) -> DataFrame:
@@ -256,23 +257,6 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     return sketches.select("doc_id", "node"), pin(found.unionByName(verified(rest)).dropDuplicates(["a", "b"]), "links")
 
 
-def components(found: DataFrame) -> DataFrame:
-    """node, root of every linked node: smallest labels spread, and labels jump to their label's label."""
-    edges = found.select("a", "b").union(found.select(F.col("b"), F.col("a")))
-    edges = pin(edges.select(F.col("a").alias("node"), F.col("b").alias("other")), "edges")
-    labels = pin(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("root")), "labels")
-    while True:
-        near = edges.join(labels.select(F.col("node").alias("other"), F.col("root").alias("seen")), "other")
-        near = near.groupBy("node").agg(F.min("seen").alias("seen"))
-        spread = labels.join(near, "node").select("node", F.col("root").alias("before"), F.least("root", "seen").alias("step"))
-        jump = labels.select(F.col("node").alias("step"), F.col("root").alias("beyond"))
-        after = spread.join(jump, "step").select("node", F.least("step", "beyond").alias("root"), "before")
-        after = pin(after, "labels")
-        labels = after.select("node", "root")
-        if after.filter("root <> before").isEmpty():
-            return labels
-
-
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node, root and class_id (smallest id of the class) of every row."""
     rows, found = links(docs, threshold)
@@ -286,6 +270,9 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")
     chosen = classes(docs, threshold).groupBy("root").agg(F.min(order).alias("one"))
     chosen = chosen.select(F.col("one.doc_id").alias("_kept_id"), F.col("one.node").alias("_kept_node"))
-    rows = with_node(docs)
-    match = rows["doc_id"].cast("long").eqNullSafe(F.col("_kept_id")) & (rows[NODE] == F.col("_kept_node"))
-    return rows.join(chosen, match, "left_semi").dropDuplicates(["doc_id", NODE]).drop(NODE)
+    node = fresh(docs, NODE)
+    rows = with_node(docs, node)
+    kept_id, kept_node = fresh(rows, "_kept_id"), fresh(rows, "_kept_node")
+    chosen = chosen.toDF(kept_id, kept_node)
+    match = rows["doc_id"].cast("long").eqNullSafe(F.col(kept_id)) & (rows[node] == F.col(kept_node))
+    return rows.join(chosen, match, "left_semi").dropDuplicates(["doc_id", node]).drop(node)
