@@ -59,36 +59,56 @@ PLACE_SQL = """LONG_SCHOOL_YEAR as school_year, DETAIL_LVL_DESC as detail_level,
   GRADES_SERVED_DESC as grades_served, concat_ws('_', SCHOOL_DSTRCT_CD, INSTN_NUMBER) as institution_key"""
 _PLACE_KEYS = "LONG_SCHOOL_YEAR, SCHOOL_DSTRCT_CD, INSTN_NUMBER"
 
-_groups = "all indian asian black white hispani multi female male swd not_swd ed not_ed lep migrant".split()
+# Column names of the feeds.
+_groups = (
+    "all", "indian", "asian", "black", "white", "hispani", "multi", "female",
+    "male", "swd", "not_swd", "ed", "not_ed", "lep", "migrant",
+)
+_rates = ("five_or_fewer_percent", "six_to_fifteen_percent", "over_15_percent", "chronic_absent_perc")
 _attendance = ", ".join(
     ", ".join(
         [f"{_int(f'STUDENT_COUNT_{g}')} as student_count_{g}"]
         + [
             f"{_dec(f'{m}_{g}', 1)} as {m}_{g}"
-            for m in "five_or_fewer_percent six_to_fifteen_percent over_15_percent chronic_absent_perc".split()
+            for m in _rates
         ]
     )
     for g in _groups
 )
 
 _ALL_CODES = "'TFS', 'N/A', '*'"
-_share_names = (
-    "asian native black hispanic multiracial white male female migrant "
-    "ed:economically_disadvantaged swd:students_with_disabilities lep:english_learner"
-).split()
-_program_names = (
-    "remedial_gr_6_8:remedial_6_8 eip_k_5 remedial_gr_9_12:remedial_9_12 special_ed_k12 esol special_ed_pk "
-    "vocation_9_12 alt_programs gifted"
-).split()
+_share_names = {
+    "asian": "asian",
+    "native": "native",
+    "black": "black",
+    "hispanic": "hispanic",
+    "multiracial": "multiracial",
+    "white": "white",
+    "male": "male",
+    "female": "female",
+    "migrant": "migrant",
+    "ed": "economically_disadvantaged",
+    "swd": "students_with_disabilities",
+    "lep": "english_learner",
+}
+_program_names = {
+    "remedial_gr_6_8": "remedial_6_8",
+    "eip_k_5": "eip_k_5",
+    "remedial_gr_9_12": "remedial_9_12",
+    "special_ed_k12": "special_ed_k12",
+    "esol": "esol",
+    "special_ed_pk": "special_ed_pk",
+    "vocation_9_12": "vocation_9_12",
+    "alt_programs": "alt_programs",
+    "gifted": "gifted",
+}
 
 
 def _enrollment() -> str:
     out = []
-    for item in _share_names:
-        raw, name = (item.split(":") * 2)[:2]
+    for raw, name in _share_names.items():
         out.append(f"{_dec(f'ENROLL_PCT_{raw}', 1, _ALL_CODES)} as pct_{name}")
-    for item in _program_names:
-        raw, name = (item.split(":") * 2)[:2]
+    for raw, name in _program_names.items():
         share = "ENROLL_PERCENT" if raw == "eip_k_5" else "ENROLL_PCT"
         out.append(f"{_dbl(f'ENROLL_COUNT_{raw}', _ALL_CODES)} as count_{name}")
         out.append(f"{_dec(f'{share}_{raw}', 1, _ALL_CODES)} as pct_{name}")
@@ -425,14 +445,13 @@ _attendance_fact = ", ".join(
         for n in [{"hispani": "hispanic"}.get(g, g)]
     ]
 )
-_enrollment_fact = ", ".join(
-    f"pct_{n}"
-    for n in (
-        "asian black hispanic white multiracial native male female economically_disadvantaged "
-        "students_with_disabilities english_learner migrant gifted special_ed_k12 esol remedial_6_8 "
-        "remedial_9_12 eip_k_5 vocation_9_12 alt_programs"
-    ).split()
+_fact_shares = (
+    "asian", "black", "hispanic", "white", "multiracial", "native",
+    "male", "female", "economically_disadvantaged", "students_with_disabilities", "english_learner", "migrant",
+    "gifted", "special_ed_k12", "esol", "remedial_6_8", "remedial_9_12", "eip_k_5",
+    "vocation_9_12", "alt_programs",
 )
+_enrollment_fact = ", ".join(f"pct_{n}" for n in _fact_shares)
 
 FACT_SQL = {
     "fact_attendance": _fact("attendance", _attendance_fact),
