@@ -11,9 +11,11 @@ whole; overlapping places of a base phrase all count; equal rows give equal resu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -67,13 +69,20 @@ def _searches(notices: tuple[tuple[str, str], ...]) -> list[tuple]:
     return out
 
 
+def word_at(data: bytes) -> Callable[[int], int]:
+    """Number of the word that starts behind the space at an offset, from 0."""
+    gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+    return lambda at: int(np.searchsorted(gaps, at, "right")) - 1
+
+
 def base_places(data: bytes) -> list[tuple[str, int]]:
     places = []
+    word = word_at(data)
     for phrase, label in BASE.items():
         wanted = b" %s " % phrase.encode()
         at = data.find(wanted)
         while at >= 0:
-            places.append((label, data.count(b" ", 0, at + 1) - 1))
+            places.append((label, word(at)))
             at = data.find(wanted, at + 1)
     return places
 
@@ -81,6 +90,7 @@ def base_places(data: bytes) -> list[tuple[str, int]]:
 def fuzzy_places(data: bytes, notices: tuple[tuple[str, str], ...] = tuple(NOTICES.items())) -> list[tuple]:
     """(label, word, start, end, errors, likeness) of every fuzzy place."""
     found = []
+    word = word_at(data)
     for label, length, k, seeds, pattern in _searches(notices):
         windows = set()
         for offset, seed in seeds:
@@ -88,26 +98,22 @@ def fuzzy_places(data: bytes, notices: tuple[tuple[str, str], ...] = tuple(NOTIC
             while at >= 0:
                 windows.add((max(0, at - offset - k), min(len(data), at - offset + length + k)))
                 at = data.find(seed, at + 1)
-        merged: list[list[int]] = []
-        for a, b in sorted(windows):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(b, merged[-1][1])
-            else:
-                merged.append([a, b])
-        for a, b in merged:
-            for m in pattern.finditer(data, a, b):
-                errors = sum(m.fuzzy_counts)
-                found.append((label, max(0, data.count(b" ", 0, m.start() + 1) - 1), m.start(), m.end(), errors, 1 - errors / length))
+        # each window by itself: it is as long as the notice, so the time follows the seeds found,
+        # and the best match of one does not hide those before it
+        places = {m.span(): sum(m.fuzzy_counts) for m in (pattern.search(data, a, b) for a, b in windows) if m}
+        for (start, end), errors in places.items():
+            found.append((label, max(0, word(start)), start, end, errors, 1 - errors / length))
     return _best(found)
 
 
 def _best(found: list[tuple]) -> list[tuple]:
     """Where places overlap, only the likeliest: similar notices differ by a few letters."""
-    kept: list[tuple] = []
+    kept: list[tuple] = []  # apart from each other and in order, so only neighbours can overlap
     for place in sorted(found, key=lambda x: (-x[5], x[2], x[0])):
-        if all(place[3] <= other[2] or other[3] <= place[2] for other in kept):
-            kept.append(place)
-    return sorted(kept, key=lambda x: x[2])
+        i = bisect(kept, place[2], key=lambda x: x[2])
+        if (i == 0 or kept[i - 1][3] <= place[2]) and (i == len(kept) or place[3] <= kept[i][2]):
+            kept.insert(i, place)
+    return kept
 
 
 def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
