@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rollcall.session import configure, pin
 
-__all__ = ["PrefixHash", "byte_chunks", "fresh", "mix", "pin", "prepare", "shuffle_width", "table", "texts"]
+__all__ = ["PrefixHash", "byte_chunks", "fresh", "mix", "pin", "prepare", "release", "shuffle_width", "table", "texts"]
 
 #: Rows per Arrow batch: long documents make large rows, and a batch has to fit a worker.
 ARROW_ROWS = 512
@@ -65,6 +65,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def release(pinned: DataFrame) -> None:
+    """Delete a table written by ``pin`` that nothing reads any more."""
+    files = pinned.inputFiles()
+    if files:
+        spark = pinned.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,10 +16,17 @@ twelve of ``COVER`` are sampled; whatever two places are compared, some shift be
    alone still shows its windows to the others;
 3. the windows that are left are classed one by one.
 
-Hashes of 64 bits stand for the strings.  Texts are held in chunks of about ``CHUNK`` bytes;
+Hashes of 63 bits stand for the strings.  Texts are held in chunks of about ``CHUNK`` bytes;
 a chunk sends a hash once, however often it holds it, so a string that a third of the
 documents share reaches its bucket once per chunk.
 
+Most blocks and open windows occur once.  They are sieved by shortened hashes first: of the
+logarithm of the corpus size and ``SPARE`` bits more, so that a share of about
+1 / 2 ** ``SPARE`` passes by chance at any size.  What passes is compared by whole hashes, a
+block through the windows that it opens.  Sorted hashes travel as differences.  Chunks are
+moved once, into a table bucketed by chunk that the later joins read in place; it is dropped,
+like the other intermediate tables, when the last step is written.
+
 Defined results: a null text is an empty one; texts under ``WINDOW`` bytes lose nothing;
 repeated rows, and rows with null ids, are documents of their own, so equal long texts lose
 everything; an empty table gives an empty result.
@@ -28,6 +35,7 @@ everything; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -38,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import PrefixHash, pin, shuffle_width
+from rollcall.llm.common import PrefixHash, pin, release, shuffle_width
 
 WINDOW = 200
 # A perfect difference set, every residue but 0 being one difference of two members.
@@ -49,6 +57,9 @@ SETTLE = WINDOW + PERIOD - 1
 CHUNK = 2_000_000
 #: Bytes of text whose sampled hashes make one bucket.
 BUCKET = 32_000_000
+#: Bits of a shortened hash beyond the logarithm of the corpus size.
+SPARE = 8
+BITS = 63
 SEED = 20250203
 
 _COVERED = np.isin(np.arange(PERIOD), COVER)
@@ -115,31 +126,42 @@ def _samples(lengths: np.ndarray, left: np.ndarray) -> np.ndarray:
     return np.flatnonzero(_COVERED[within % PERIOD] & (left >= BLOCK))
 
 
+def _shrink(words: np.ndarray) -> bytes:
+    """Ascending words as differences, one plane per byte, compressed."""
+    steps = np.diff(words, prepend=np.zeros(1, np.uint64))
+    return _pack(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _expand(data: bytes) -> np.ndarray:
+    planes = _unpack(data).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 class _Hashes:
-    """Hashes (without the lowest bit, which is free for a mark) of strings of one chunk."""
+    """Hashes of ``bits`` bits, the highest of 64, of strings of one chunk."""
 
     def __init__(self, hasher: PrefixHash, data: np.ndarray):
         self.hasher, self.prefixes = hasher, hasher.prefixes(data)
 
-    def __call__(self, places: np.ndarray, size: int) -> np.ndarray:
-        return self.hasher.ranges(self.prefixes, places, places + size) >> np.uint64(1)
+    def __call__(self, places: np.ndarray, size: int, bits: int = BITS) -> np.ndarray:
+        return self.hasher.ranges(self.prefixes, places, places + size) >> np.uint64(64 - bits)
 
 
-def _deal(chunk: int, hashes: np.ndarray, buckets: int) -> pd.DataFrame:
-    """One row per bucket: distinct hashes, marked if the chunk holds them more than once."""
+def _deal(chunk: int, hashes: np.ndarray, buckets: int, bits: int = BITS) -> pd.DataFrame:
+    """One row per bucket, a range of hashes: distinct ones, marked if the chunk holds them more than once."""
     values, times = np.unique(hashes, return_counts=True)
     words = (values << np.uint64(1)) | (times > 1).astype(np.uint64)
-    bucket = ((values >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    names, starts = np.unique(bucket[order], return_index=True)
-    pieces = np.split(words[order], starts[1:]) if len(names) else []
-    return pd.DataFrame({"bucket": names.astype(np.int32), "chunk": np.full(len(names), chunk), "words": [p.tobytes() for p in pieces]})
+    high = values >> np.uint64(bits - 32) if bits > 32 else values << np.uint64(32 - bits)
+    bucket = ((high * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+    names, starts = np.unique(bucket, return_index=True)
+    pieces = np.split(words, starts[1:]) if len(names) else []
+    return pd.DataFrame({"bucket": names.astype(np.int32), "chunk": np.full(len(names), chunk), "words": [_shrink(p) for p in pieces]})
 
 
 def _class(frame: pd.DataFrame) -> pd.DataFrame:
     """Hashes of a bucket that occur more than once, back to their chunks; marked in the first one."""
     frame = frame.sort_values("chunk", kind="stable")
-    parts = [np.frombuffer(w, np.uint64) for w in frame["words"]]
+    parts = [_expand(w) for w in frame["words"]]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     words = np.concatenate(parts)
     key = words >> np.uint64(1)
@@ -155,14 +177,14 @@ def _class(frame: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(owner, kind="stable")
     names, starts = np.unique(owner[order], return_index=True)
     pieces = np.split(out[order], starts[1:]) if len(names) else []
-    return pd.DataFrame({"chunk": frame["chunk"].to_numpy()[names], "hits": [p.tobytes() for p in pieces]})
+    return pd.DataFrame({"chunk": frame["chunk"].to_numpy()[names], "hits": [_shrink(p) for p in pieces]})
 
 
 def _hits(parts) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes and whether this chunk is the first to hold them."""
     if parts is None or not len(parts):
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    words = np.sort(np.concatenate([np.frombuffer(p, np.uint64) for p in parts]))
+    words = np.sort(np.concatenate([_expand(p) for p in parts]))
     return words >> np.uint64(1), (words & np.uint64(1)).astype(bool)
 
 
@@ -212,20 +234,24 @@ def _per_chunk(body: Callable) -> Callable:
     return run
 
 
-def _blocks(buckets: int) -> Callable:
+def _blocks(buckets: int, bits: int) -> Callable:
     def body(row, hasher):
         lengths = np.array(row.lengths, np.int64)
         hashed = _Hashes(hasher, _unpack(row.data))
-        return _deal(row.chunk, hashed(_samples(lengths, _left(lengths)), BLOCK), buckets)
+        return _deal(row.chunk, hashed(_samples(lengths, _left(lengths)), BLOCK, bits), buckets, bits)
 
     return _per_chunk(body)
 
 
-def _reduce(row, hasher: PrefixHash) -> pd.DataFrame:
+def _reduce(bits: int) -> Callable:
+    return _per_chunk(lambda row, hasher: _reduced(row, hasher, bits))
+
+
+def _reduced(row, hasher: PrefixHash, bits: int) -> pd.DataFrame:
     """The documents of a chunk that hold a recurring block; the others are done."""
     data, lengths = _unpack(row.data), np.array(row.lengths, np.int64)
     places = _samples(lengths, _left(lengths))
-    places = places[_look_up(_Hashes(hasher, data)(places, BLOCK), _hits(row.hits)[0])[0]]
+    places = places[_look_up(_Hashes(hasher, data)(places, BLOCK, bits), _hits(row.hits)[0])[0]]
     starts = np.cumsum(lengths) - lengths
     owner = np.searchsorted(starts, places, "right") - 1
     # of documents that start at one place all but the last are empty
@@ -258,18 +284,38 @@ def _ties(buckets: int) -> Callable:
     return _per_chunk(body)
 
 
-def _rest(buckets: int) -> Callable:
+def _rest(buckets: int, bits: int) -> Callable:
+    """Shortened hashes of the windows that are left."""
+
+    def body(row, hasher):
+        _, _, _, hashed, candidate, _, quiet = _windows(row, hasher)
+        return _deal(row.chunk, hashed(np.flatnonzero(candidate & ~quiet), WINDOW, bits), buckets, bits)
+
+    return _per_chunk(body)
+
+
+def _shown(row, hashed: _Hashes, candidate: np.ndarray, quiet: np.ndarray, bits: int) -> np.ndarray:
+    """Windows that are left and whose shortened hash recurs."""
+    places = np.flatnonzero(candidate & ~quiet)
+    return places[_look_up(hashed(places, WINDOW, bits), _hits(row.likely)[0])[0]]
+
+
+def _whole(buckets: int, bits: int) -> Callable:
     def body(row, hasher):
         _, _, _, hashed, candidate, _, quiet = _windows(row, hasher)
-        return _deal(row.chunk, hashed(np.flatnonzero(candidate & ~quiet), WINDOW), buckets)
+        return _deal(row.chunk, hashed(_shown(row, hashed, candidate, quiet, bits), WINDOW), buckets)
 
     return _per_chunk(body)
 
 
-def _cover(row, hasher: PrefixHash) -> pd.DataFrame:
+def _cover(bits: int) -> Callable:
+    return _per_chunk(lambda row, hasher: _covered(row, hasher, bits))
+
+
+def _covered(row, hasher: PrefixHash, bits: int) -> pd.DataFrame:
     """Remove what repeated windows cover."""
     data, lengths, left, hashed, candidate, settled, quiet = _windows(row, hasher)
-    shown = np.flatnonzero(candidate & ~quiet)
+    shown = _shown(row, hashed, candidate, quiet, bits)
     found, _ = _look_up(hashed(shown, WINDOW), _hits(row.found)[0])
     settled[shown[found]] = True
     covered = _spread(np.flatnonzero(settled), WINDOW, len(data))
@@ -288,6 +334,13 @@ def _by_chunk(hits: DataFrame, name: str) -> DataFrame:
     return hits.groupBy("chunk").agg(F.collect_list("hits").alias(name))
 
 
+def _bucketed(df: DataFrame, buckets: int) -> str:
+    """Write ``df`` as a table of the current database, bucketed by chunk; returns its name."""
+    name = f"suffix_chunks_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, "chunk").saveAsTable(name)
+    return name
+
+
 def removals(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of ``docs``."""
     spark = docs.sparkSession
@@ -295,22 +348,32 @@ def removals(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     chunks = pin(raw.mapInPandas(lambda frames: _chunks(frames, chunk), _CHUNKS), "chunks")
     size = chunks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(shuffle_width(spark), -(-size // BUCKET))
+    bits = min(BITS, int(size).bit_length() + SPARE)
 
     def recurring(source: DataFrame, emit: Callable, label: str) -> DataFrame:
-        dealt = source.mapInPandas(emit(buckets), _DEALT)
+        dealt = source.mapInPandas(emit, _DEALT)
         return pin(dealt.groupBy("bucket").applyInPandas(_class, _HITS), label)
 
     with _small_batches(spark):
-        blocks = recurring(chunks, _blocks, "blocks")
+        blocks = recurring(chunks, _blocks(buckets, bits), "blocks")
         some = chunks.join(_by_chunk(blocks, "hits"), "chunk", "left")
-        reduced = pin(some.mapInPandas(_per_chunk(_reduce), _REDUCED), "reduced")
-        open_chunks = reduced.drop("done")
-        ties = _by_chunk(recurring(open_chunks, _ties, "ties"), "settled")
-        tied = open_chunks.join(ties, "chunk", "left")
-        found = _by_chunk(recurring(tied, _rest, "windows"), "found")
+        moved = _bucketed(some.mapInPandas(_reduce(bits), _REDUCED), buckets)
+        release(chunks)
+        release(blocks)
+        open_chunks = spark.table(moved).drop("done")
+        ties = recurring(open_chunks, _ties(buckets), "ties")
+        tied = open_chunks.join(_by_chunk(ties, "settled"), "chunk", "left")
+        likely = recurring(tied, _rest(buckets, bits), "likely")
+        sieved = tied.join(_by_chunk(likely, "likely"), "chunk", "left")
+        found = recurring(sieved, _whole(buckets, bits), "windows")
         text_result = RESULT.replace("doc_id long", "doc_id string")
-        cut = pin(tied.join(found, "chunk", "left").mapInPandas(_per_chunk(_cover), text_result), "cut")
-    done = reduced.select(F.explode("done").alias("d")).select(
-        "d.doc_id", "d.n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("d.kept").alias("kept_sha256")
-    )
-    return cut.unionByName(done).withColumn("doc_id", F.col("doc_id").cast("long"))
+        last = sieved.join(_by_chunk(found, "found"), "chunk", "left")
+        cut = last.mapInPandas(_cover(bits), text_result)
+        done = spark.table(moved).select(F.explode("done").alias("d")).select(
+            "d.doc_id", "d.n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("d.kept").alias("kept_sha256")
+        )
+        result = pin(cut.unionByName(done).withColumn("doc_id", F.col("doc_id").cast("long")), "removals")
+    for table in (ties, likely, found):
+        release(table)
+    spark.sql(f"DROP TABLE {moved}")
+    return result
