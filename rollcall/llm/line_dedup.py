@@ -22,8 +22,6 @@ of any length is read whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,52 +52,55 @@ def tokens(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(r"[\x21-\x7E]+|[^\x00-\x7F]"), F.lit(0))
 
 
-def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
-    """Start (from 0) and length of the even segments of a line; the last ones are longer."""
-    n = edits + 1
-    short = F.floor(length / n).cast("int")
-    longer = (length - short * n).cast("int")
-    out = []
-    for i in range(n):
-        extra = F.greatest(F.lit(0), F.lit(i) - (F.lit(n) - longer))
-        size = short + (F.lit(i) >= F.lit(n) - longer).cast("int")
-        out.append((short * i + extra, size))
-    return out
-
-
-def _index(piece: Callable[[Column, Column], Column], length: Column, edits: int) -> Column:
-    return F.array(*[
-        F.xxhash64(F.lit(edits), length, F.lit(i), piece(start + 1, size)) for i, (start, size) in enumerate(_segments(length, edits))
-    ])
+#: A segment to take of a line: of its tokens or its characters, by the number of edits, so
+#: much shorter than the line, the number of the segment and its shift.
+SEGMENT = "array<struct<by_token:boolean,edits:int,shorter:int,segment:int,shift:int>>"
 
 
-def _probes(piece: Callable[[Column, Column], Column], length: Column, edits: int) -> Column:
-    """Pieces that a line of ``length - d`` within the threshold may have as a segment."""
-    keys = []
-    for d in range(edits + 1):
-        other = length - d
-        for i, (start, size) in enumerate(_segments(other, edits)):
-            low, high = max(-i, d - (edits - i)), min(i, d + (edits - i))
-            keys += [F.xxhash64(F.lit(edits), other, F.lit(i), piece(start + shift + 1, size)) for shift in range(low, high + 1)]
-    return F.array(*keys)
+def _constant(rows: list[tuple[bool, int, int, int, int]]) -> Column:
+    names = ("by_token", "edits", "shorter", "segment", "shift")
+    return F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows]).cast(SEGMENT)
 
 
-def index_keys(piece: Callable[[Column, Column], Column], length: Column, ladder: Ladder) -> Column:
+def index_segments(length: Column, ladder: Ladder, by_token: bool) -> Column:
     """Segments of a line for each class that a near longer line may be of."""
-    none, out = F.array().cast("array<long>"), []
+    out = []
     for (least, edits), above in zip(ladder, [*(x for x, _ in ladder[1:]), None], strict=True):
         within_class = length >= least - edits if above is None else (length >= least - edits) & (length < above)
-        out.append(F.when(within_class, _index(piece, length, edits)).otherwise(none))
+        out.append(F.when(within_class, _constant([(by_token, edits, 0, i, 0) for i in range(edits + 1)])).otherwise(_constant([])))
     return F.concat(*out)
 
 
-def probe_keys(piece: Callable[[Column, Column], Column], length: Column, ladder: Ladder) -> Column:
-    out = F.array().cast("array<long>")
+def probe_segments(length: Column, ladder: Ladder, by_token: bool) -> Column:
+    """Pieces that a line of ``length - shorter`` within the threshold may have as a segment."""
+    out = _constant([])
     for least, edits in ladder:
-        out = F.when(length >= least, _probes(piece, length, edits)).otherwise(out)
+        rows = [
+            (by_token, edits, d, i, shift)
+            for d in range(edits + 1) for i in range(edits + 1)
+            for shift in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1)
+        ]
+        out = F.when(length >= least, _constant(rows)).otherwise(out)
     return out
 
 
+def keys(cut: DataFrame, segments: Column, name: str) -> DataFrame:
+    """One row (``name``, key) per segment of each line; ``cut``: hash, line, length, tokens, n.
+
+    The segments are rows before they are cut, so that one short expression, which Spark
+    compiles, serves all of them.  Sizes of a line's segments differ by one at most.
+    """
+    rows = cut.select(F.col("hash").alias(name), "line", "length", "tokens", "n", F.explode(segments).alias("s"))
+    rows = rows.select(name, "line", "tokens", "s", F.expr("if(s.by_token, n, length) - s.shorter").alias("of"))
+    start, end = (F.expr(f"cast(of * (s.segment + {i}) div (s.edits + 1) as int)") for i in (0, 1))
+    rows = rows.select(name, "line", "tokens", "s", "of", (start + F.col("s.shift") + 1).alias("start"), (end - start).alias("size"))
+    where = (F.col("s.edits"), F.col("of"), F.col("s.segment"))
+    key = F.when(F.col("s.by_token"), F.xxhash64(*where, F.slice("tokens", F.col("start"), F.col("size")))).otherwise(
+        F.xxhash64(*where, F.substring("line", F.col("start"), F.col("size")))
+    )
+    return rows.select(name, key.alias("key"))
+
+
 def within(x: Column, y: Column, length: Column, ladder: Ladder) -> Column:
     """Whether two lines are within the edits of their class, by the built-in banded edit distance.
 
@@ -116,12 +117,9 @@ def near_pairs(lines: DataFrame) -> DataFrame:
     """Pairs (longer, shorter) of hashes of distinct lines that share a key; ``lines``: hash, line."""
     cut = lines.filter(F.length("line") >= NEAR_FROM).select("hash", "line", F.length("line").alias("length"), tokens(F.col("line")).alias("tokens"))
     cut = cut.withColumn("n", F.size("tokens"))
-    by_character = (lambda start, size: F.substring("line", start, size)), F.col("length"), CHARACTERS
-    by_token = (lambda start, size: F.slice("tokens", start, size)), F.col("n"), TOKENS
-    probes = F.array_distinct(F.concat(probe_keys(*by_character), probe_keys(*by_token)))
-    indexed = F.array_distinct(F.concat(index_keys(*by_character), index_keys(*by_token)))
-    probes = cut.select(F.col("hash").alias("longer"), F.explode(probes).alias("key"))
-    indexed = cut.select(F.col("hash").alias("shorter"), F.explode(indexed).alias("key"))
+    classes = (F.col("length"), CHARACTERS, False), (F.col("n"), TOKENS, True)
+    probes = keys(cut, F.concat(*[probe_segments(*c) for c in classes]), "longer")
+    indexed = keys(cut, F.concat(*[index_segments(*c) for c in classes]), "shorter")
     return probes.join(indexed, "key").filter("longer <> shorter").select("longer", "shorter").distinct()
 
 
