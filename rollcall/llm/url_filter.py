@@ -1,7 +1,8 @@
 """URL filter: host rules, and empirical-Bayes reputation where no rule fits.
 
-Labelled page outcomes (good or not) are counted per host.  Host, registered domain (last
-two labels) and suffix (last label) form a hierarchy: a group's good rate has a beta prior
+Labelled page outcomes (good or not) are counted per host.  Host, registered domain (one
+label before the suffix) and suffix (last label, or one of ``SUFFIXES``) form a hierarchy;
+a numeric address is a domain of its own, below one suffix of all addresses.  A group's good rate has a beta prior
 whose mean is its parent's posterior mean and whose strength is estimated per level from
 the spread of its groups (moments of the beta-binomial).  A page is blocked if the upper
 posterior bound of its host's good rate is below ``GOOD_RATE``.
@@ -38,6 +39,18 @@ DEVIATIONS = 1.645
 #: Bounds of the correlation of outcomes within a group, 1 / (1 + prior strength).
 LEAST, USUAL, MOST = 0.01, 0.1, 0.5
 
+# Suffixes of two labels below which domains are registered.
+SUFFIXES = (
+    "ac.jp", "ac.nz", "ac.uk", "ac.za", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th", "co.uk", "co.za",
+    "com.ar", "com.au", "com.br", "com.cn", "com.co", "com.hk", "com.mx", "com.my", "com.ph", "com.sg", "com.tr", "com.tw", "com.ua",
+    "com.vn", "edu.au", "edu.cn", "go.jp", "gov.au", "gov.br", "gov.cn", "gov.in", "gov.uk", "me.uk", "ne.jp", "net.au", "net.br",
+    "net.cn", "net.nz", "net.uk", "or.jp", "or.kr", "org.au", "org.br", "org.cn", "org.mx", "org.nz", "org.tw", "org.uk", "org.za",
+)
+#: Stands for the suffix of numeric addresses; no host name can hold brackets.
+ADDRESS = "[address]"
+
+_BARE = r"\.*(:[0-9]*)?$"
+_NUMERIC = r"^([0-9]+(\.[0-9]+){3}|\[.*)$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -60,10 +73,20 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
     return rule, verdict
 
 
-def domain_of(host: Column) -> Column:
-    """Registered domain: the last two labels, without user and port."""
-    bare = F.regexp_replace(F.substring_index(host, "@", -1), ":[0-9]*$", "")
-    return F.substring_index(bare, ".", -2)
+def bare_of(host: Column) -> Column:
+    """``host`` without user, port and last dots."""
+    return F.regexp_replace(F.substring_index(host, "@", -1), _BARE, "")
+
+
+def domain_of(bare: Column) -> Column:
+    """Registered domain: the suffix and the label before it, or the whole of a numeric address."""
+    last = F.substring_index(bare, ".", -2)
+    return F.when(bare.rlike(_NUMERIC), bare).when(last.isin(*SUFFIXES), F.substring_index(bare, ".", -3)).otherwise(last)
+
+
+def suffix_of(domain: Column) -> Column:
+    last = F.substring_index(domain, ".", -2)
+    return F.when(domain.rlike(_NUMERIC), ADDRESS).when(last.isin(*SUFFIXES), last).otherwise(F.substring_index(domain, ".", -1))
 
 
 def _posterior(groups: DataFrame, prior: str) -> DataFrame:
@@ -82,7 +105,7 @@ def _posterior(groups: DataFrame, prior: str) -> DataFrame:
 def reputation(pages: DataFrame) -> DataFrame:
     """host, a, b: the beta posterior of each host's good rate; ``pages``: host, good (0, 1 or null)."""
     hosts = pages.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    hosts = pin(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", F.substring_index("domain", ".", -1)), "hosts")
+    hosts = pin(hosts.withColumn("domain", domain_of(bare_of(F.col("host")))).withColumn("suffix", suffix_of(F.col("domain"))), "hosts")
     counts = [F.sum("n").alias("n"), F.sum("good").alias("good")]
     total = hosts.agg(*counts).first()
     overall = ((total["good"] or 0) + 1) / ((total["n"] or 0) + 2)
@@ -131,6 +154,8 @@ _RULE = "\n".join(
     for t, _ in sorted(RULES, key=lambda r: -len(r[0]))
 )
 
+_SUFFIXES = ", ".join(f"'{s}'" for s in SUFFIXES)
+
 ORACLE_SQL = f"""
 with parts as (
   select page_id,
@@ -140,11 +165,19 @@ with parts as (
 known as (
   select doc_id as page_id, max(case when quality = 1 and coalesce(toxic, 0) = 0 then 1 else 0 end) as good
   from labels where doc_id is not null group by 1),
-hosts as (
-  select host, count(good) as n, coalesce(sum(good), 0) as good,
-    array_to_string(string_split(regexp_replace(string_split(host, '@')[-1], ':[0-9]*$', ''), '.')[-2:], '.') as domain
+counted as (
+  select host, count(good) as n, coalesce(sum(good), 0) as good, regexp_replace(string_split(host, '@')[-1], '{_BARE}', '') as bare
   from parts left join known using (page_id) group by 1),
-domains as (select domain, string_split(domain, '.')[-1] as suffix, sum(n) as n, sum(good) as good from hosts group by 1, 2),
+hosts as (
+  select host, n, good, case when regexp_matches(bare, '{_NUMERIC}') then bare
+    when array_to_string(string_split(bare, '.')[-2:], '.') in ({_SUFFIXES}) then array_to_string(string_split(bare, '.')[-3:], '.')
+    else array_to_string(string_split(bare, '.')[-2:], '.') end as domain
+  from counted),
+domains as (
+  select domain, case when regexp_matches(domain, '{_NUMERIC}') then '{ADDRESS}'
+    when array_to_string(string_split(domain, '.')[-2:], '.') in ({_SUFFIXES}) then array_to_string(string_split(domain, '.')[-2:], '.')
+    else string_split(domain, '.')[-1] end as suffix, sum(n) as n, sum(good) as good
+  from hosts group by 1, 2),
 suffixes as (
   select suffix, sum(n) as n, sum(good) as good, (select (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) from hosts) as prior
   from domains group by 1),{_level("s", "select * from suffixes")},{_level("d", "select x.*, a / (a + b) as prior from domains x join s_post using (suffix)".replace("x.*", "x.domain, x.suffix, x.n, x.good"))},
