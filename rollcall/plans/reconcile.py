@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rollcall.operators.dedup import dedup
+from rollcall.operators.dedup import dedup_large
 from rollcall.operators.shape import union_with_drift
 from rollcall.plans import feeds
 from rollcall.plans.spec import Feed
@@ -26,14 +26,18 @@ def feed_parts(name: str, raw: Mapping[str, DataFrame]) -> list[tuple[Feed, Data
 
 
 class Observed:
-    """A typed table whose rows are counted on their way: raw, without copies, typed."""
+    """A typed table whose rows are counted: raw ones by a pass of their own, because the
+    de-duplication may read them more than once, kept and typed ones on their way."""
 
     def __init__(self, name: str, raw: Mapping[str, DataFrame]):
         self.name = name
-        self.counts: dict[str, list[Observation]] = {"raw": [], "kept": [], "typed": []}
+        self.counts: dict[str, list[Observation]] = {"kept": [], "typed": []}
+        self.raw = 0
         frames = []
         for feed, rows in feed_parts(name, raw):
-            kept = self._counted(dedup(self._counted(feed.prepared(rows), "raw"), feed.key), "kept")
+            prepared = feed.prepared(rows)
+            self.raw += prepared.count()
+            kept = self._counted(dedup_large(prepared, feed.key), "kept")
             frames.append(kept.select(*[f.column() for f in feed.fields]))
         self.table = self._counted(union_with_drift(frames), "typed")
 
@@ -50,12 +54,12 @@ class Observed:
 def write_reconciled(name: str, raw: Mapping[str, DataFrame], write: Callable[[DataFrame], int]) -> DataFrame:
     """Build and write a typed table; the report row that raw rows minus copies were written.
 
-    ``write`` returns the rows it wrote.  No table is read a second time: all counts are
-    taken by the tasks of the write.
+    ``write`` returns the rows it wrote.  No written table is read again: kept and typed rows
+    are counted by the tasks of the write.
     """
     observed = Observed(name, raw)
     written = write(observed.table)
-    before, kept, typed = (observed.rows(step) for step in ("raw", "kept", "typed"))
+    before, kept, typed = observed.raw, *(observed.rows(step) for step in ("kept", "typed"))
     removed = before - kept
     difference = abs(before - removed - written) + abs(typed - written)
     row = ("reconcile", name, "pass" if difference == 0 else "fail", float(written), f"{before} - {removed}", difference)
