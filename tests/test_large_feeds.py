@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.operators import dedup
+from rollcall.plans.feeds import build_sat
 from rollcall.plans.reconcile import write_reconciled
 from rollcall.session import pin
 from tests.conftest import rows_of
@@ -80,3 +81,13 @@ def test_tables_are_dealt_by_their_rows(spark, monkeypatch):
     monkeypatch.setattr(registry, "DEALT_ROWS", 100)
     assert t.spread("lineitem").rdd.getNumPartitions() == -(-rows // 100)
     assert rows_of(t.spread("lineitem").select("l_orderkey", "l_linenumber")) == rows_of(t.lineitem.select("l_orderkey", "l_linenumber"))
+
+
+@pytest.mark.parametrize("on_conflict", ["fanout", "null"])
+def test_large_sat_union_gives_the_same_rows(spark, monkeypatch, on_conflict):
+    raw = raw_tables(Tables(spark, SF), "sat")
+    raw["sat"] = raw["sat"].unionByName(raw["sat"].limit(50))
+    expected = rows_of(build_sat(raw, on_conflict))
+    monkeypatch.setattr(dedup, "FEW_ROWS", 0)
+    built = build_sat(raw, on_conflict)
+    assert "sat_filled" in built.inputFiles()[0] and rows_of(built) == expected
