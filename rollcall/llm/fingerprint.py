@@ -32,8 +32,10 @@ SLOTS = 64
 SEED = 20240607
 #: Places of the table of drawn words; a word has one place, and the first to come keeps it.
 CACHED = 2**16
-#: Words whose keys are computed at a time.
+#: Words of one text whose keys are computed at a time.
 BLOCK = 2048
+#: Characters of short texts that are sampled together, so that each of their words is looked up once.
+TOGETHER = 2**16
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -91,6 +93,78 @@ class Sampler:
             self.once[taken] = _keys(*drawn[:, first], np.float32(0))
         return out
 
+    def drawn_keys(self, words: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log keys at weight 1 of distinct words, and r, ln c and b of those at ``heavy``."""
+        place = (words % np.uint64(len(self.held))).astype(np.int64)
+        known = self.held[place] == words
+        once, draws = np.empty((len(words), self.slots), np.float32), np.empty((3, len(heavy), self.slots), np.float32)
+        once[known] = self.once[place[known]]
+        at = np.flatnonzero(known[heavy])
+        draws[:, at] = self.drawn[:, place[heavy[at]]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            drawn = np.stack(draw(words[new][:, None], self.salts))
+            once[new] = _keys(*drawn, np.float32(0))
+            at = np.flatnonzero(~known[heavy])
+            draws[:, at] = drawn[:, np.searchsorted(new, heavy[at])]
+            taken, first = np.unique(place[new], return_index=True)
+            free = self.held[taken] == 0
+            taken, first = taken[free], first[free]
+            self.held[taken] = words[new[first]]
+            self.drawn[:, taken] = drawn[:, first]
+            self.once[taken] = once[new[first]]
+        return once, draws
+
+    def _together(self, texts: list[str]) -> np.ndarray:
+        """The signatures of short texts; each distinct word is hashed, looked up or drawn once."""
+        out = np.zeros((len(texts), self.slots), np.uint16)
+        parts = [b" ".join(t.encode("utf-8", "replace").split()) for t in texts]
+        raw = np.frombuffer(b" ".join(parts), np.uint8)
+        text_start = np.cumsum([0, *(len(p) + 1 for p in parts[:-1])])
+        gaps = np.flatnonzero(raw == 32)
+        starts, ends = np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(raw)]))
+        some = ends > starts
+        starts, ends = starts[some], ends[some]
+        if not len(starts):
+            return out
+        words, word = np.unique(self.hash.ranges(self.hash.prefixes(raw), starts, ends), return_inverse=True)
+        owner = np.searchsorted(text_start, starts, "right") - 1
+        rows, weights = np.unique(owner * len(words) + word, return_counts=True)
+        owner, word = np.divmod(rows, len(words))
+        many = np.flatnonzero(weights > 1)
+        heavy, of = np.unique(word[many], return_inverse=True)
+        once, draws = self.drawn_keys(words, heavy)
+        keys = once[word]
+        keys[many] = _keys(*draws[:, of], np.log(weights[many]).astype(np.float32)[:, None])
+        bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+        full = np.flatnonzero(bounds[1:] > bounds[:-1])
+        best = np.array([bounds[i] + keys[bounds[i] : bounds[i + 1]].argmin(axis=0) for i in full])
+        out[full] = self._samples(words[word[best]], weights[best])
+        return out
+
+    def _samples(self, words: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """16 bits of the word and level of each sample; the last axis is that of the samples."""
+        level = np.zeros(words.shape, np.int64)  # that of weight 1, as b is below 1
+        more = weights > 1
+        r, _, b = draw(words[more], np.broadcast_to(self.salts, words.shape)[more])
+        level[more] = np.floor(np.log(weights[more]).astype(np.float32) / r + b).astype(np.int64)
+        sample = mix(words + mix(level.astype(np.uint64)))
+        return (sample % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+
+    def signatures(self, texts: list[str]) -> list[np.ndarray]:
+        """``signature`` of each text."""
+        out: list[np.ndarray] = []
+        group: list[str] = []
+        size = 0
+        for text in [*texts, None]:
+            if group and (text is None or size + len(text) > TOGETHER):
+                out += list(self._together(group)) if size <= TOGETHER else [self.signature(t) for t in group]
+                group, size = [], 0
+            if text is not None:
+                group.append(text)
+                size += len(text)
+        return out
+
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct words of a text, by their hashes, and their weights."""
         data = b" ".join(text.encode("utf-8", "replace").split())
@@ -114,10 +188,7 @@ class Sampler:
             at = keys.argmin(axis=0)
             less = keys[at, slot] < least
             least[less], best[less] = keys[at, slot][less], start + at[less]
-        r, _, b = draw(words[best], self.salts)
-        level = np.floor(np.log(weights[best]).astype(np.float32) / r + b).astype(np.int64)
-        sample = mix(words[best] + mix(level.astype(np.uint64)))
-        return (sample % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+        return self._samples(words[best], weights[best])
 
 
 @lru_cache
@@ -144,18 +215,26 @@ def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sample = sampler()
     before = None
     for frame in frames:
-        rows = []
+        texts, pairs = [], []  # a pair is its id and the places of its text, the following and the edited one
+        at = None if before is None else 0
+        if before is not None:
+            texts.append(before[1])
         for guest, doc_id, text in zip(frame["guest"], frame["doc_id"], frame["text"], strict=True):
-            mark = sample.signature(text) if before is not None or not guest else None
+            place = len(texts)
             if before is not None:
-                own_id, own, own_mark = before
-                changed = edited(own, text)
-                changed_mark = sample.signature(changed)
-                rows.append((
-                    own_id, len(own), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(),
-                    text_of(own_mark), text_of(changed_mark), likeness(own_mark, changed_mark), likeness(own_mark, mark),
-                ))
-            before = None if guest else (doc_id, text, mark)
+                pairs.append((before[0], at, place, place + 1))
+                texts += [text, edited(before[1], text)]
+            elif not guest:
+                texts.append(text)
+            before, at = (None, None) if guest else ((doc_id, text), place)
+        marks = sample.signatures(texts)
+        rows = [
+            (
+                doc_id, len(texts[own]), hashlib.sha256(texts[changed].encode("utf-8", "replace")).hexdigest(),
+                text_of(marks[own]), text_of(marks[changed]), likeness(marks[own], marks[changed]), likeness(marks[own], marks[following]),
+            )
+            for doc_id, own, following, changed in pairs
+        ]
         out = pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
         out["doc_id"] = out["doc_id"].astype("Int64")
         yield out
