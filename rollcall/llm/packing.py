@@ -61,7 +61,8 @@ def _encoder(vocabulary: str, ranks: str):
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def encode(text: str) -> list[int]:
-        if any(s in text for s in special) or max(map(len, text.split()), default=0) > LONG_RUN:
+        long_run = len(text) > LONG_RUN and max(map(len, text.split()), default=0) > LONG_RUN
+        if long_run or any(s in text for s in special):
             return slow.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
@@ -120,26 +121,34 @@ def best_fit(order, lengths, bins: list[list[int]], room: list[int]) -> None:
             bisect.insort(free, (room[b], b))
 
 
+def fills(bins: list[list[int]], lengths) -> list[int]:
+    """Ids in each bin."""
+    return [sum(map(lengths.__getitem__, b)) for b in bins]
+
+
 def crossover(mother: list[list[int]], father: list[list[int]], lengths, rng) -> list[list[int]]:
     """Inject well-filled bins of the father; best-fit what the overlapping bins held."""
-    filled = [b for b in father if sum(lengths[i] for i in b) >= WELL_FILLED * CAPACITY] or father
+    filled = [b for b, fill in zip(father, fills(father, lengths), strict=True) if fill >= WELL_FILLED * CAPACITY] or father
     chosen = [b for b, take in zip(filled, rng.random(len(filled)) < 0.5, strict=True) if take]
     injected = {i for b in chosen for i in b}
     bins, displaced = [list(b) for b in chosen], []
-    worst = sorted(range(len(mother)), key=lambda k: sum(lengths[i] for i in mother[k]))[: 1 + len(mother) // 50]
+    held = fills(mother, lengths)
+    worst = set(sorted(range(len(mother)), key=held.__getitem__)[: 1 + len(mother) // 50])
+    room = [CAPACITY - n for n in fills(bins, lengths)]
     for k, b in enumerate(mother):
         if k in worst or not injected.isdisjoint(b):
             displaced += [i for i in b if i not in injected]
         else:
             bins.append(list(b))
+            room.append(CAPACITY - held[k])
     displaced.sort(key=lambda i: -lengths[i])
-    best_fit(displaced, lengths, bins, [CAPACITY - sum(lengths[i] for i in b) for b in bins])
+    best_fit(displaced, lengths, bins, room)
     return bins
 
 
 def fitness(bins: list[list[int]], lengths) -> tuple[int, float]:
     """Fewer bins first, then fuller ones."""
-    return len(bins), -sum((sum(lengths[i] for i in b) / CAPACITY) ** 2 for b in bins)
+    return len(bins), -sum([(n / CAPACITY) ** 2 for n in fills(bins, lengths)])
 
 
 def _grouped(assignment) -> list[list[int]]:
