@@ -143,13 +143,13 @@ def verified(both: DataFrame) -> DataFrame:
     return rows.select("longer", "shorter", F.explode(F.when(near, F.array(F.lit(1))))).select("longer", "shorter")
 
 
-def sieved(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The lines whose hash may be among ``wanted``, so that the others' text is not shuffled.
+def sieved(lines: DataFrame, wanted: DataFrame, name: str = "hash") -> DataFrame:
+    """The lines whose hash ``name`` may be among ``wanted``, so that the others' text is not shuffled.
 
     A bitmap of the wanted hashes is broadcast, at most ``SIEVE`` rows of 64 bits whatever
     their number.  The more are wanted the more lines pass it; a join by hash has to follow.
     """
-    slot, bit = F.pmod("hash", F.lit(SIEVE)).alias("slot"), "cast(shiftrightunsigned(hash, 32) & 63 as int)"
+    slot, bit = F.pmod(name, F.lit(SIEVE)).alias("slot"), f"cast(shiftrightunsigned({name}, 32) & 63 as int)"
     marks = wanted.groupBy(slot).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("marks"))
     rows = lines.withColumn("slot", slot).join(F.broadcast(marks), "slot")
     return rows.filter(F.expr(f"getbit(marks, {bit}) = 1")).select(*lines.columns)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import PrefixHash, byte_chunks, fresh, mix, pin, texts
 from rollcall.llm.components import components
+from rollcall.llm.line_dedup import sieved
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -192,11 +193,17 @@ def with_node(docs: DataFrame, name: str = NODE) -> DataFrame:
 
 
 def candidate_pairs(keyed: DataFrame) -> DataFrame:
-    """Every member of a bucket with the smallest nodes of the bucket."""
+    """Every member of a bucket with the smallest nodes of the bucket.
+
+    The pivots of all buckets of a node meet as one set before they become rows, because
+    near copies share most of their buckets.
+    """
     first = Window.partitionBy("key").orderBy("node")
     pivots = keyed.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= PIVOTS)
-    pairs = keyed.join(pivots.select("key", F.col("node").alias("pivot")), "key").filter("pivot < node")
-    return pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    pivots = pivots.groupBy("key").agg(F.collect_set("node").alias("pivots"))
+    met = keyed.join(pivots, "key").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
+    smaller = F.filter("pivots", lambda pivot: pivot < F.col("node"))
+    return met.select(F.explode(smaller).alias("a"), F.col("node").alias("b"))
 
 
 def _unit_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,11 +241,11 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     sketches = pin(named.mapInPandas(_sketch, "doc_id long, node long, keys array<long>"), "sketches")
     folded = sketches.groupBy("node").agg(F.first("keys").alias("keys"))
     keyed = folded.select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    keyed = pin(keyed.join(shared, "key"), "buckets")
-    wanted = keyed.select("node").distinct()
-    cells = named.join(wanted, "node", "left_semi").select("node", "text").mapInPandas(_weighted, "node long, cells binary")
-    cells = pin(cells.dropDuplicates(["node"]), "cells")
+    shared = pin(keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1"), "shared")
+    keyed = pin(sieved(keyed, shared, "key").join(shared, "key"), "buckets")
+    wanted = pin(keyed.select("node").distinct(), "wanted")
+    spelled = sieved(named.select("node", "text"), wanted, "node").join(wanted, "node", "left_semi")
+    cells = pin(spelled.mapInPandas(_weighted, "node long, cells binary").dropDuplicates(["node"]), "cells")
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(cells.select(F.col("node").alias("a"), F.col("cells").alias("x")), "a")
