@@ -12,7 +12,7 @@ evenly into k + 1 segments, indexed by (length, segment, content).  A line probe
 indexes of its own and the k shorter lengths with those pieces whose shift an alignment
 within the threshold allows; by the pigeonhole principle a near line shares one of them.
 Candidates are verified by the built-in edit distance with a threshold, which keeps to the
-band of 2 k + 1 diagonals (instead of bit vectors; see ``within``).
+band of 2 k + 1 diagonals (instead of bit vectors; see ``within``), tokens by their codes.
 
 DataFrame functions only.  Defined results: a null text has no line; null ids sort last;
 rows that repeat an id
@@ -52,31 +52,31 @@ def tokens(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(r"[\x21-\x7E]+|[^\x00-\x7F]"), F.lit(0))
 
 
-#: A segment to take of a line: of its tokens or its characters, by the number of edits, so
-#: much shorter than the line, the number of the segment and its shift.
-SEGMENT = "array<struct<by_token:boolean,edits:int,shorter:int,segment:int,shift:int>>"
+#: A segment to take of a line's tokens or characters: by the number of edits, so much
+#: shorter than the line, the number of the segment and its shift.
+SEGMENT = "array<struct<edits:int,shorter:int,segment:int,shift:int>>"
 
 
-def _constant(rows: list[tuple[bool, int, int, int, int]]) -> Column:
-    names = ("by_token", "edits", "shorter", "segment", "shift")
+def _constant(rows: list[tuple[int, int, int, int]]) -> Column:
+    names = ("edits", "shorter", "segment", "shift")
     return F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows]).cast(SEGMENT)
 
 
-def index_segments(length: Column, ladder: Ladder, by_token: bool) -> Column:
+def index_segments(length: Column, ladder: Ladder) -> Column:
     """Segments of a line for each class that a near longer line may be of."""
     out = []
     for (least, edits), above in zip(ladder, [*(x for x, _ in ladder[1:]), None], strict=True):
         within_class = length >= least - edits if above is None else (length >= least - edits) & (length < above)
-        out.append(F.when(within_class, _constant([(by_token, edits, 0, i, 0) for i in range(edits + 1)])).otherwise(_constant([])))
+        out.append(F.when(within_class, _constant([(edits, 0, i, 0) for i in range(edits + 1)])).otherwise(_constant([])))
     return F.concat(*out)
 
 
-def probe_segments(length: Column, ladder: Ladder, by_token: bool) -> Column:
+def probe_segments(length: Column, ladder: Ladder) -> Column:
     """Pieces that a line of ``length - shorter`` within the threshold may have as a segment."""
     out = _constant([])
     for least, edits in ladder:
         rows = [
-            (by_token, edits, d, i, shift)
+            (edits, d, i, shift)
             for d in range(edits + 1) for i in range(edits + 1)
             for shift in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1)
         ]
@@ -84,21 +84,18 @@ def probe_segments(length: Column, ladder: Ladder, by_token: bool) -> Column:
     return out
 
 
-def keys(cut: DataFrame, segments: Column, name: str) -> DataFrame:
-    """One row (``name``, key) per segment of each line; ``cut``: hash, line, length, tokens, n.
+def keys(cut: DataFrame, segments: Column, name: str, by_token: bool) -> DataFrame:
+    """One row (``name``, key) per segment of each line; ``cut``: hash, whole, length.
 
     The segments are rows before they are cut, so that one short expression, which Spark
     compiles, serves all of them.  Sizes of a line's segments differ by one at most.
     """
-    rows = cut.select(F.col("hash").alias(name), "line", "length", "tokens", "n", F.explode(segments).alias("s"))
-    rows = rows.select(name, "line", "tokens", "s", F.expr("if(s.by_token, n, length) - s.shorter").alias("of"))
+    rows = cut.select(F.col("hash").alias(name), "whole", "length", F.explode(segments).alias("s"))
+    rows = rows.select(name, "whole", "s", F.expr("length - s.shorter").alias("of"))
     start, end = (F.expr(f"cast(of * (s.segment + {i}) div (s.edits + 1) as int)") for i in (0, 1))
-    rows = rows.select(name, "line", "tokens", "s", "of", (start + F.col("s.shift") + 1).alias("start"), (end - start).alias("size"))
-    where = (F.col("s.edits"), F.col("of"), F.col("s.segment"))
-    key = F.when(F.col("s.by_token"), F.xxhash64(*where, F.slice("tokens", F.col("start"), F.col("size")))).otherwise(
-        F.xxhash64(*where, F.substring("line", F.col("start"), F.col("size")))
-    )
-    return rows.select(name, key.alias("key"))
+    rows = rows.select(name, "whole", "s", "of", (start + F.col("s.shift") + 1).alias("start"), (end - start).alias("size"))
+    piece = (F.slice if by_token else F.substring)("whole", F.col("start"), F.col("size"))
+    return rows.select(name, F.xxhash64("s.edits", "of", "s.segment", piece).alias("key"))
 
 
 def within(x: Column, y: Column, length: Column, ladder: Ladder) -> Column:
@@ -114,33 +111,46 @@ def within(x: Column, y: Column, length: Column, ladder: Ladder) -> Column:
 
 
 def near_pairs(lines: DataFrame) -> DataFrame:
-    """Pairs (longer, shorter) of hashes of distinct lines that share a key; ``lines``: hash, line."""
-    cut = lines.filter(F.length("line") >= NEAR_FROM).select("hash", "line", F.length("line").alias("length"), tokens(F.col("line")).alias("tokens"))
-    cut = cut.withColumn("n", F.size("tokens"))
-    classes = (F.col("length"), CHARACTERS, False), (F.col("n"), TOKENS, True)
-    probes = keys(cut, F.concat(*[probe_segments(*c) for c in classes]), "longer")
-    indexed = keys(cut, F.concat(*[index_segments(*c) for c in classes]), "shorter")
-    return probes.join(indexed, "key").filter("longer <> shorter").select("longer", "shorter").distinct()
+    """Pairs (longer, shorter) of hashes of distinct lines that share a key; ``lines``: hash, line.
 
+    Characters and tokens one after the other, so that the keys of one are moved at a time.
+    """
+    lines = lines.filter(F.length("line") >= NEAR_FROM)
+    found = []
+    for ladder, by_token, whole, length in ((CHARACTERS, False, F.col("line"), F.length), (TOKENS, True, tokens(F.col("line")), F.size)):
+        cut = lines.select("hash", whole.alias("whole")).withColumn("length", length("whole")).filter(F.col("length") >= ladder[0][0] - ladder[0][1])
+        probes = keys(cut, probe_segments(F.col("length"), ladder), "longer", by_token)
+        indexed = keys(cut, index_segments(F.col("length"), ladder), "shorter", by_token)
+        pairs = probes.join(indexed, "key").filter("longer <> shorter").select("longer", "shorter").distinct()
+        found.append(pin(pairs, "token_pairs" if by_token else "pairs"))
+    return found[0].union(found[1]).distinct()
 
-def verified(both: DataFrame) -> DataFrame:
-    """The rows (longer, shorter, x, y) whose lines x and y are near.
 
-    For the distance in tokens each token of a pair is written as one character, that of its
-    place among the pair's tokens.  The last step is no filter, which Spark would push below
-    the others, so that they were computed again for every token.
+def sketch(line: Column, salt: int) -> Column:
+    """A line's tokens as one character each, of 2^20, by a hash; null for lines with too few tokens for ``TOKENS``.
+
+    The codes are joined before they are decoded, so that little is interpreted token by token.
     """
-    rows = both.select("longer", "shorter", "x", "y", tokens(F.col("x")).alias("tx"), tokens(F.col("y")).alias("ty"))
-    rows = rows.withColumn("known", F.array_distinct(F.concat("tx", "ty")))
+    code = lambda t: F.lpad(F.hex(F.pmod(F.xxhash64(F.lit(salt), t), F.lit(2**20)) + 2**16), 8, "0")
+    enough = F.size(tokens(line)) >= TOKENS[0][0] - TOKENS[0][1]
+    return F.when(enough, F.decode(F.unhex(F.array_join(F.transform(tokens(line), code), "")), "UTF-32"))
+
 
-    def written(column: str) -> Column:
-        code = lambda t: F.lpad(F.hex(F.array_position("known", t) + 65536), 8, "0")
-        return F.array_join(F.transform(column, lambda t: F.decode(F.unhex(code(t)), "UTF-32")), "")
+#: Sketches of a line; tokens are told apart by 20 bits in each.
+SKETCHES = ("a", "b")
 
-    rows = rows.select("longer", "shorter", "x", "y", written("tx").alias("wx"), written("ty").alias("wy"))
-    near = within(F.col("x"), F.col("y"), F.greatest(F.length("x"), F.length("y")), CHARACTERS)
-    near = near | within(F.col("wx"), F.col("wy"), F.greatest(F.length("wx"), F.length("wy")), TOKENS)
-    return rows.select("longer", "shorter", F.explode(F.when(near, F.array(F.lit(1))))).select("longer", "shorter")
+
+def verified(both: DataFrame) -> DataFrame:
+    """The rows (longer, shorter) whose lines are near; ``both``: x and y of (line, sketches).
+
+    Sketches are made once a line, not once a pair.  Tokens of equal codes only make lines
+    nearer, so that no near pair is lost; a pair is linked wrongly only if both sketches
+    have equal codes of different tokens, about once in 2^40.
+    """
+    longest = lambda c: F.greatest(F.length(f"x.{c}"), F.length(f"y.{c}"))
+    by = lambda c, ladder: within(F.col(f"x.{c}"), F.col(f"y.{c}"), longest(c), ladder)
+    near = by("line", CHARACTERS) | F.coalesce(by("a", TOKENS) & by("b", TOKENS), F.lit(False))
+    return both.filter(near).select("longer", "shorter")
 
 
 def sieved(lines: DataFrame, wanted: DataFrame, name: str = "hash") -> DataFrame:
@@ -157,20 +167,19 @@ def sieved(lines: DataFrame, wanted: DataFrame, name: str = "hash") -> DataFrame
 
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct lines (hash, first, copies) and the verified links (x, y) between their hashes."""
-    lines = occurrences(docs)
-    distinct = lines.groupBy("hash").agg(
-        F.min(F.struct("rank", "key", "place")).alias("first"), F.count("*").alias("copies"), F.first("line").alias("line")
+    distinct = pin(
+        occurrences(docs).groupBy("hash")
+        .agg(F.min(F.struct("rank", "key", "place")).alias("first"), F.count("*").alias("copies"), F.first("line").alias("line")),
+        "lines",
     )
-    keyed = distinct.select("hash", "first", "copies", "line")
-    pairs = pin(near_pairs(keyed), "pairs")
-    known = pin(lines.groupBy("hash").agg(F.min(F.struct("rank", "key", "place")).alias("first"), F.count("*").alias("copies")), "lines")
+    pairs = pin(near_pairs(distinct.select("hash", "line")), "pairs")
     wanted = pin(pairs.select(F.col("longer").alias("hash")).union(pairs.select("shorter")).distinct(), "wanted")
-    spelled = sieved(lines.select("hash", "line"), wanted).dropDuplicates(["hash"])
-    spelled = pin(spelled.join(wanted, "hash", "left_semi"), "spelled")
-    both = pairs.join(spelled.select(F.col("hash").alias("longer"), F.col("line").alias("x")), "longer")
-    both = both.join(spelled.select(F.col("hash").alias("shorter"), F.col("line").alias("y")), "shorter")
-    links = verified(both)
-    return known, pin(links.select(F.least("longer", "shorter").alias("x"), F.greatest("longer", "shorter").alias("y")).distinct(), "links")
+    spelled = sieved(distinct.select("hash", "line"), wanted).join(wanted, "hash", "left_semi")
+    sketches = [sketch(F.col("line"), salt).alias(name) for salt, name in enumerate(SKETCHES)]
+    spelled = pin(spelled.select("hash", "line", *sketches), "spelled").select("hash", F.struct("line", *SKETCHES).alias("of"))
+    both = pairs.join(spelled.toDF("longer", "x"), "longer").join(spelled.toDF("shorter", "y"), "shorter")
+    links = verified(both).select(F.least("longer", "shorter").alias("x"), F.greatest("longer", "shorter").alias("y"))
+    return distinct.select("hash", "first", "copies"), pin(links.distinct(), "links")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
