@@ -67,6 +67,34 @@ def test_rows_of_old_files_are_dropped_before_the_exchange(spark, monkeypatch):
     assert moved[0] < 5_000
 
 
+def test_few_wide_rows_are_ordered_and_nothing_large_is_planned_twice(spark, monkeypatch):
+    """Rows that the sieve of newest files lets through by chance are dropped by a second one."""
+    monkeypatch.setattr(dedup, "FEW_ROWS", 0)
+    values = [f"cast(id * {i} % 97 as string) v{i}" for i in range(dedup.WIDE + 2)]
+    df = spark.range(60_000).selectExpr(
+        "cast(id % 6000 as string) k", "concat('y', id) source_year", "if(id % 12000 = 7, 'g', 'f') source_file",
+        "'user' as _digest", "'user' as _mark", *values,
+    )
+    df = df.unionByName(df.filter("source_year >= 'y9995'"))
+    expected = rows_of(dedup.dedup(df, ["k"]))
+    moved, sieves = [], []
+
+    def first(rows, keys, order, plain=dedup.first_per_key):
+        moved.append(rows.count())
+        return plain(rows, keys, order)
+
+    def made(self, *args, plain=dedup.Sieve.__init__, **kwargs):
+        plain(self, *args, **kwargs)
+        sieves.append(self.words)
+
+    monkeypatch.setattr(dedup, "first_per_key", first)
+    monkeypatch.setattr(dedup.Sieve, "__init__", made)
+    assert rows_of(dedup.dedup_large(df, ["k"])) == expected
+    assert sum(moved) < 300
+    # at most 64 MB of bitmap, the later ones smaller than the first
+    assert dedup.MOST_WORDS * 8 <= 2**26 and all(words <= sieves[0] for words in sieves[1:])
+
+
 def test_reconciliation_of_sieved_feeds(spark, monkeypatch):
     monkeypatch.setattr(dedup, "FEW_ROWS", 0)
     raw = raw_tables(Tables(spark, SF), "dropout_rate")
