@@ -7,7 +7,7 @@ from rollcall.operators import dedup
 from rollcall.plans.feeds import build_sat
 from rollcall.plans.reconcile import write_reconciled
 from rollcall.session import pin
-from tests.conftest import rows_of
+from tests.conftest import plan_of, rows_of
 from workload import registry
 from workload.feed_queries import raw_tables
 from workload.registry import Tables
@@ -95,6 +95,14 @@ def test_few_wide_rows_are_ordered_and_nothing_large_is_planned_twice(spark, mon
     assert dedup.MOST_WORDS * 8 <= 2**26 and all(words <= sieves[0] for words in sieves[1:])
 
 
+def test_hashes_of_keys_are_built_once_a_row_and_lead_the_sorts(spark, tmp_path):
+    _copies(spark).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumn("k", F.concat("k", F.lit("_"), "a"))
+    for part in dedup.split_recurring(df, ["k", "b"]):
+        assert plan_of(part).count("xxhash64(") == 1 and "concat(k" in plan_of(part)
+    assert plan_of(dedup.dedup(df, ["k", "b"])).count("xxhash64(") == 1
+
+
 def test_reconciliation_of_sieved_feeds(spark, monkeypatch):
     monkeypatch.setattr(dedup, "FEW_ROWS", 0)
     raw = raw_tables(Tables(spark, SF), "dropout_rate")
