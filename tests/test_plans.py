@@ -2,6 +2,7 @@
 
 import random
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,17 @@ def test_sieved_dedup_equals_dedup(spark):
     assert dedup.dedup_sieved(df.limit(0), ["k"]).count() == 0
 
 
+def test_staged_tables_are_built_together(spark):
+    """Two builders meet; one after the other they would wait in vain."""
+    meeting = threading.Barrier(2)
+
+    def build(table):
+        meeting.wait(timeout=30)
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in staging.demand(["dim_school"])[table]))
+
+    assert set(staging.stage(["dim_school"], build)) == {"enrollment_by_grade", "revenues"}
+
+
 def test_keys_stay_over_loads(spark):
     order = [F.asc_nulls_first("code")]
 
